@@ -147,7 +147,7 @@ FACT_COLUMNS = f"""
   start_station_id, end_station_id, rider AS member_casual, rideable_type,
   min_u / 1000000.0 AS ride_duration_minutes, hour_u / 1000000.0 AS ride_duration_hours,
   {{distance}} AS total_distance,
-  CAST(CAST(km / (secs / 60.0 / 60.0) AS DECIMAL(18, 6)) AS DOUBLE) AS avg_speed_kmh,
+  ((km_u * 7200 + secs) // (2 * secs)) / 1000000.0 AS avg_speed_kmh,
   distance_category, duration_category, time_of_day,
   h AS hour_of_day, dow AS day_of_week, mon AS month, yr AS year, CAST(dt AS VARCHAR) AS dt,
   {{created}} AS created_at, '{RUN_TS}' AS updated_at,

@@ -22,7 +22,9 @@ def fact_rides(
     stamp = F.lit(run_ts).cast("timestamp")
     minutes, km = F.col("trip_duration_minutes"), F.col("trip_distance_km")
     hours = minutes / F.lit(60.0)
-    speed = F.when(hours > 0, km / hours).otherwise(F.lit(0.0))
+    # Durations are whole seconds, so speed divides decimals and rounds once.
+    seconds = F.round(minutes * 60).cast("bigint")
+    speed = F.when(seconds > 0, exact.measure(km) * 3600 / seconds).otherwise(F.lit(0))
     return staged.select(
         "ride_id",
         F.col("started_at_ts").alias("started_at"),
