@@ -61,10 +61,12 @@ def exact_percentiles(
         F.collect_list(F.struct("_name", "_rank", "_weight")).alias("_lookups")
     )
 
+    # Null-safe on both keys: a plain equality would add a null filter to this use
+    # of the counts only, and Spark could not share their shuffle.
     same_bucket = counts.alias("c").join(
         lookups.alias("l"),
         F.col(f"c.{group}").eqNullSafe(F.col(f"l.{group}"))
-        & (F.col("c._bucket") == F.col("l._bucket")),
+        & F.col("c._bucket").eqNullSafe(F.col("l._bucket")),
     )
     inner = Window.partitionBy(f"c.{group}", "c._bucket").orderBy(f"c.{value}")
     running = F.sum("c._n").over(inner.rowsBetween(Window.unboundedPreceding, 0))
