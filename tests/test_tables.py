@@ -10,11 +10,12 @@ from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from tests.helpers import RUN_TS, raw_frame, rows_of, trip_row
+from tripmart import jobs
 from tripmart import schemas as S
 from tripmart.operators import cleaning, merge
-from tripmart.plans import monthly, star
+from tripmart.plans import monthly, star, views
 from tripmart.sinks import tables, zone_writer
-from tripmart.sources import archives, jdbc, zones
+from tripmart.sources import archives, jdbc, sql, zones
 
 LATER = datetime(2025, 8, 1)
 
@@ -218,6 +219,16 @@ def test_monthly_run_and_reload(spark, tmp_path):
         "agg_daily_metrics": 3,
         "agg_user_behavior": 3,
     }
+    views.register_views(spark, lake)
+    popular = sql.run_sql(
+        spark,
+        "SELECT station_id, total_rides FROM v_station_popularity WHERE total_rides > :n",
+        {"n": 5},
+    )
+    assert rows_of(popular) == [("A", 9)]
+    assert spark.table("v_daily_trends").count() == 3
+    assert spark.table("v_member_distance_kpi").first().total_rides == 9
+
     again = monthly.run_month(spark, str(tmp_path / "202404.zip"), lake, "202404", RUN_TS)
     assert again.deleted == {
         "agg_user_behavior": 2,
@@ -266,3 +277,18 @@ def test_jdbc_write_options():
         "batchsize": "20000",
         "isolationLevel": "NONE",
     }
+
+
+def test_job_steps(spark, tmp_path, capsys):
+    lake, archive = str(tmp_path / "lake"), str(tmp_path / "202404.zip")
+    write_archive(archive, "202404-city-tripdata.csv", [trip_row("R1"), trip_row("R2")])
+    common = ["--lake", lake, "--month", "202404"]
+    for step in ("ingest", "profile", "transform", "clear", "load"):
+        extra = ["--archives", archive] if step == "ingest" else []
+        jobs.run(spark, jobs.parse([step, *common, *extra]))
+    printed = capsys.readouterr().out
+    assert "raw rows: 2" in printed
+    assert "staged rows: 2" in printed
+    assert len(mart_rows(spark, monthly.Lake(lake))["fact_rides"]) == 2
+    with pytest.raises(SystemExit):
+        jobs.parse(["ingest", "--lake", lake])

@@ -52,21 +52,31 @@ def with_measures(trips: DataFrame) -> DataFrame:
     )
 
 
+def plausible() -> Column:
+    return trip.is_plausible(F.col("trip_duration_minutes"), F.col("trip_distance_km"))
+
+
 def filter_plausible(trips: DataFrame) -> DataFrame:
-    minutes, km = F.col("trip_duration_minutes"), F.col("trip_distance_km")
-    return trips.filter(trip.is_plausible(minutes, km))
+    return trips.filter(plausible())
 
 
 def valid_trips(raw: DataFrame) -> DataFrame:
-    """Complete, plausible trips, one per ride id.
-
-    Any copy of a ride may survive, so the survivor is chosen among its valid
-    copies. That lets both filters run in the scan, before the one shuffle, and
-    keeps rows without a ride id from piling up on a single key.
+    """Complete, plausible trips with their measures, one per ride id.
+
+    Any copy of a ride may survive; here a plausible one does if there is any.
+    Incomplete rows go in the scan, so rows without a ride id never meet on one
+    key. Plausibility orders the copies instead of filtering them first: a filter
+    below the shuffle would parse and measure each row several times over, to
+    spare the shuffle a few percent of the rows. The shuffle carries the raw
+    columns only, so plans that use trips twice share it, whatever they select.
     """
-    plausible = filter_plausible(with_measures(filter_required(raw)))
-    raw_columns = [F.col(c) for c in S.TRIP_COLUMNS.fieldNames() if c != "ride_id"]
-    return first_per_key(plausible, "ride_id", raw_columns)
+    columns = S.TRIP_COLUMNS.fieldNames()
+    flagged = with_measures(filter_required(raw)).select(
+        *columns, (~F.coalesce(plausible(), F.lit(False))).alias("_implausible")
+    )
+    order = [F.col(c) for c in ["_implausible", *columns] if c != "ride_id"]
+    first = first_per_key(flagged, "ride_id", order).filter(~F.col("_implausible"))
+    return with_measures(first.select(*columns))
 
 
 def with_calendar(trips: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.functions import exact, trip
-from tripmart.operators.cleaning import with_measures
+from tripmart.operators.cleaning import plausible, with_measures
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -45,7 +45,6 @@ def cleaning_counts(raw: DataFrame) -> DataFrame:
     ``valid_trips`` keeps.
     """
     complete = trip.has_required_fields()
-    plausible = trip.is_plausible(F.col("trip_duration_minutes"), F.col("trip_distance_km"))
 
     def flag(condition):
         return F.max(F.when(condition, 1).otherwise(0))
@@ -53,7 +52,7 @@ def cleaning_counts(raw: DataFrame) -> DataFrame:
     per_id = with_measures(raw).groupBy("ride_id").agg(
         F.count(F.lit(1)).alias("copies"),
         flag(complete).alias("complete"),
-        flag(complete & plausible).alias("valid"),
+        flag(complete & plausible()).alias("valid"),
     )
     totals = per_id.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_records"),

@@ -245,8 +245,8 @@ def distance_category_pivot(facts: DataFrame, riders: Sequence[str] | None = Non
 # --- stations and routes ----------------------------------------------------
 
 
-def station_popularity(facts: DataFrame, stations: DataFrame, limit: int = 20) -> DataFrame:
-    """Start stations with the most rides. Names join the totals, not the rides."""
+def station_totals(facts: DataFrame, stations: DataFrame) -> DataFrame:
+    """Rides from each station. Names join the totals, not the rides."""
     per_station = (
         facts.filter(F.col("start_station_id").isNotNull())
         .groupBy("start_station_id", "dt")
@@ -267,10 +267,15 @@ def station_popularity(facts: DataFrame, stations: DataFrame, limit: int = 20) -
             F.sum("casual").alias("casual_rides"),
         )
     )
-    named = per_station.join(stations.select("station_id", "station_name"), "station_id")
-    first = named.columns[1:-1]
+    names = stations.select("station_id", "station_name")
+    totals = [c for c in per_station.columns if c != "station_id"]
+    return per_station.join(names, "station_id").select("station_name", "station_id", *totals)
+
+
+def station_popularity(facts: DataFrame, stations: DataFrame, limit: int = 20) -> DataFrame:
+    """Start stations with the most rides."""
     return (
-        named.select("station_name", "station_id", *first)
+        station_totals(facts, stations)
         .orderBy(F.col("total_rides").desc(), *_ascending("station_name", "station_id"))
         .limit(limit)
     )
@@ -325,16 +330,20 @@ def top_routes(facts: DataFrame, stations: DataFrame, limit: int = 10) -> DataFr
 # --- periods ----------------------------------------------------------------
 
 
-def daily_trends(facts: DataFrame, days: int = 30, as_of: date | None = None) -> DataFrame:
-    """Per date and rider type over the last days, newest first."""
-    recent = facts.filter(_since(F.col("dt"), as_of, days))
-    daily = recent.groupBy("dt", "member_casual").agg(
+def daily_totals(facts: DataFrame) -> DataFrame:
+    """Per date and rider type, all dates."""
+    return facts.groupBy("dt", "member_casual").agg(
         _rides().alias("daily_rides"),
         exact.mean(_km(), 3).alias("avg_daily_distance"),
         exact.total(_km(), 3).alias("total_daily_distance"),
         exact.mean(_minutes(), 2).alias("avg_daily_duration"),
     )
-    return daily.orderBy(F.col("dt").desc_nulls_first(), *_ascending("member_casual"))
+
+
+def daily_trends(facts: DataFrame, days: int = 30, as_of: date | None = None) -> DataFrame:
+    """Per date and rider type over the last days, newest first."""
+    recent = daily_totals(facts).filter(_since(F.col("dt"), as_of, days))
+    return recent.orderBy(F.col("dt").desc_nulls_first(), *_ascending("member_casual"))
 
 
 def database_stats(facts: DataFrame) -> DataFrame:

@@ -38,12 +38,13 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def merge_table(spark: SparkSession, source: DataFrame, path: str, spec: MergeSpec) -> None:
     """Upsert into a mart table; repeating a merge changes nothing."""
-    unique = first_per_key(merge.cast_to_spec(source, spec), spec.key)
+    rows = merge.cast_to_spec(source, spec)
     target = read_table(spark, path, spec.schema)
     if spec.partition:
-        _merge_partitions(spark, unique, target, path, spec)
+        _merge_partitions(spark, rows, target, path, spec)
     else:
-        replace_table(spark, merge.upsert(target, unique, spec), path)
+        merged = merge.upsert(target, first_per_key(rows, spec.key), spec)
+        replace_table(spark, merged, path)
 
 
 def _merge_partitions(
@@ -61,12 +62,15 @@ def _merge_partitions(
     """
     part = spec.partition
     now_at = target.select(spec.key, part).join(source.select(spec.key), spec.key, "left_semi")
-    touched = _days(source, part) | _days(now_at, part)
+    left_from = _days(now_at, part)
+    touched = left_from | _days(source, part)
     affected = target.filter(F.col(part).isin(sorted(touched)))
-    merged = merge.upsert(first_per_key(affected, spec.key), source, spec)
+    merged = merge.upsert(
+        first_per_key(affected, spec.key), first_per_key(source, spec.key), spec
+    )
     staged = _stage(spark, merged, path)
     write_zone(staged, path, part)
-    clear_partitions(spark, path, spec.schema, part, touched - _days(staged, part))
+    clear_partitions(spark, path, spec.schema, part, left_from - _days(staged, part))
 
 
 def _days(df: DataFrame, column: str) -> set[date]:
