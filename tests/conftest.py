@@ -13,7 +13,6 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    scratch = tmp_path_factory.mktemp("scratch")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -21,8 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.checkpoint.dir", str(scratch))
-        .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import RUN_TS, raw_frame, rows_of, trip_row
 from tripmart import schemas as S
-from tripmart.functions import bands, exact, periods
+from tripmart.functions import bands, exact, periods, trip
 from tripmart.operators import cleaning, merge, quality, reshape, trends
 from tripmart.operators.percentile import exact_percentiles
 from tripmart.plans import reports, rollups, star
@@ -56,6 +56,40 @@ def test_unparsable_and_missing_values_drop_the_trip(spark):
     assert report.duplicate_ride_ids == 0
 
 
+def test_parsing_accepts_what_the_format_accepts(spark):
+    texts = [
+        "2024-02-29 23:59:59",
+        "2024-02-29 23:59:59.123",
+        "2024-02-30 00:00:00",
+        "2024-02-29 24:00:00",
+        "2024-02-29T23:59:59",
+        "2024-02-29 23:59:5Z",
+        "2024-02-29 23:59+01",
+        "2024-02-29 23:59:59 UTC",
+        "2024-02-29 23:59:59.1+1",
+        "2024-02-29 23:59:59.12",
+        "2024-02-29 23:59",
+        "2024-2-29 23:59:59",
+        "12024-2-29 23:59:59",
+        "+024-02-29 23:59:59",
+        "-024-02-29 23:59:59",
+        " 2024-02-29 23:59:5",
+        "2024-02-29",
+        "2024",
+        "now",
+        "",
+        None,
+    ]
+    both = column(spark, texts, "string").select(
+        "x",
+        trip.parse_timestamp(F.col("x")).alias("ours"),
+        F.try_to_timestamp("x", F.lit("yyyy-MM-dd HH:mm:ss[.SSS]")).alias("format"),
+    )
+    rows = both.collect()
+    assert [(r.x, r.ours) for r in rows] == [(r.x, r.format) for r in rows]
+    assert sum(r.ours is not None for r in rows) == 3
+
+
 def test_equal_points_are_zero_apart(spark):
     spots = [(41.6 + i * 0.013, -87.9 + (i % 7) * 0.05) for i in range(40)]
     raw = raw_frame(

@@ -292,3 +292,21 @@ def test_job_steps(spark, tmp_path, capsys):
     assert len(mart_rows(spark, monthly.Lake(lake))["fact_rides"]) == 2
     with pytest.raises(SystemExit):
         jobs.parse(["ingest", "--lake", lake])
+
+
+def test_a_hot_date_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    rows = [moved(f"R{i}", "2024-04-01") for i in range(6000)]
+    rows += [moved(f"S{i}", f"2024-05-{i:02d}") for i in range(1, 29)]
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "10k")
+    try:
+        frame = raw_frame(spark, rows).repartition(8)
+        assert zone_writer.write_zone(frame, path) == 6028
+    finally:
+        spark.conf.set(size, before)
+    files = spark.read.parquet(path).select("dt", F.input_file_name().alias("f")).distinct()
+    per_date = {r.dt: r.n for r in files.groupBy("dt").agg(F.count("f").alias("n")).collect()}
+    assert per_date[date(2024, 4, 1)] > 1
+    assert set(per_date.values()) - {per_date[date(2024, 4, 1)]} == {1}

@@ -142,8 +142,8 @@ RIDEABLE_TYPES = ("electric_bike", "classic_bike", "docked_bike")
 RIDER_TYPES = ("member", "casual")
 MEMBER, CASUAL = "MEMBER", "CASUAL"
 
-# yyyy-MM-dd HH:mm:ss, with or without milliseconds.
-TIMESTAMP_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{3})?$"
+# yyyy-MM-dd HH:mm:ss, with or without a fraction.
+TIMESTAMP_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,3})?$"
 EARTH_RADIUS_KM = 6371
 
 # Service area, degrees.

@@ -54,20 +54,24 @@ def _merge_partitions(
 
     These are the partitions of the new rows and those where their keys lie now,
     since a row may move. Finding the latter reads two columns of the target. The
-    list of partitions is one date each, so it is short enough for the driver.
+    list of partitions is one date each, so it is short enough for the driver. If
+    they hold no rows, as after a month delete, the new rows are written directly.
 
     The target side is reduced to one row per key as well: if a run died halfway
     through the copy, a moved row may lie in both its partitions, and repeating
     the run repairs that. Both reductions share the join's shuffle.
     """
     part = spec.partition
-    now_at = target.select(spec.key, part).join(source.select(spec.key), spec.key, "left_semi")
+    keys = source.select(spec.key).distinct()
+    now_at = target.select(spec.key, part).join(keys, spec.key, "left_semi")
     left_from = _days(now_at, part)
     touched = left_from | _days(source, part)
     affected = target.filter(F.col(part).isin(sorted(touched)))
-    merged = merge.upsert(
-        first_per_key(affected, spec.key), first_per_key(source, spec.key), spec
-    )
+    unique = first_per_key(source, spec.key)
+    if not _days(affected, part):
+        write_zone(unique, path, part)
+        return
+    merged = merge.upsert(first_per_key(affected, spec.key), unique, spec)
     staged = _stage(spark, merged, path)
     write_zone(staged, path, part)
     clear_partitions(spark, path, spec.schema, part, left_from - _days(staged, part))

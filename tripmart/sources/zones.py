@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zlib
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tripmart-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -48,8 +54,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tripmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/tripmart/{name}"
 
 
