@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tripmart import schemas as S
 from tripmart.fixtures import TRIPS_SQL
-from tripmart.functions import bands
+from tripmart.functions import bands, periods
 from tripmart.operators import cleaning, merge, quality, trends
 from tripmart.plans import reports, rollups, star
 from tripmart.sinks import zone_writer
@@ -59,7 +59,7 @@ def _old_facts(facts: DataFrame) -> DataFrame:
         {
             "total_distance": F.lit(0).cast(S.MEASURE),
             "data_source": F.lit("old"),
-            "created_at": F.lit(datetime(2020, 1, 1)).cast("timestamp"),
+            "created_at": periods.run_stamp(datetime(2020, 1, 1)),
         }
     )
 
@@ -115,9 +115,11 @@ def _over_months(report: Callable[..., DataFrame]) -> Query:
 
 
 def _with_stations(report: Callable[..., DataFrame], **options) -> Query:
-    return lambda spark, sf_dir: report(
-        facts(spark, sf_dir), stations(spark, sf_dir), **options
-    )
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trips = staged(spark, sf_dir)
+        return report(star.fact_rides(trips, RUN_TS), star.dim_stations(trips), **options)
+
+    return query
 
 
 def _custom_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,8 +237,9 @@ def _guarded_dim_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = facts(spark, sf_dir)
-    earlier = staged(spark, sf_dir).filter(F.col("dt") < F.lit(date(2024, 3, 1)))
+    trips = staged(spark, sf_dir)
+    rides = star.fact_rides(trips, RUN_TS)
+    earlier = trips.filter(F.col("dt") < F.lit(date(2024, 3, 1)))
     known = star.dim_stations(earlier.filter(F.col("start_hour") < 12))
     return star.orphan_facts(rides, star.dim_time(earlier), known)
 

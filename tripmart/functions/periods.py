@@ -1,7 +1,9 @@
-"""Labels of days, months, quarters and years."""
+"""Labels of days, months, quarters and years; month bounds; run stamps."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,3 +42,8 @@ def month_bounds(month: str) -> tuple[Column, Column]:
 
 def in_month(dt: Column, month: str) -> Column:
     return dt.between(*month_bounds(month))
+
+
+def run_stamp(run_ts: datetime) -> Column:
+    """One timestamp for a whole run, read in the session's time zone."""
+    return F.lit(f"{run_ts:%Y-%m-%d %H:%M:%S}").cast("timestamp")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
-from tripmart.functions import bands, trip
+from tripmart.functions import bands, periods, trip
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column] | None = None):
@@ -106,7 +106,7 @@ def with_bands(trips: DataFrame) -> DataFrame:
 
 def stage_trips(raw: DataFrame, run_ts: datetime) -> DataFrame:
     """Raw trips to the stage zone's columns; ``run_ts`` stamps the whole run."""
-    stamp = F.lit(run_ts).cast("timestamp")
+    stamp = periods.run_stamp(run_ts)
     trips = with_bands(with_standard_types(with_calendar(valid_trips(raw))))
     stamped = trips.withColumns({"processed_at": stamp, "processing_date": F.to_date(stamp)})
     return stamped.select(*S.STAGED_TRIPS.fieldNames())

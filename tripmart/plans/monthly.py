@@ -114,13 +114,29 @@ def load_star(
 def load_rollups(
     spark: SparkSession, lake: Lake, month: str | None = None, refresh: bool = False
 ) -> None:
-    """Add rollup rows of new dates; ``refresh`` recomputes dates already there."""
+    """Add rollup rows of new dates; ``refresh`` recomputes dates already there.
+
+    The dates to add are looked up first, so that the facts' other partitions are
+    not read. There is one per day, few enough to pass through the driver.
+    """
     facts = zones.read_table(spark, lake.table("fact_rides"), S.FACT_RIDES)
     if month:
         facts = zones.month_slice(facts, month)
-    for name, schema, fresh, complete in (
-        ("agg_daily_metrics", S.AGG_DAILY_METRICS, rollups.new_daily_metrics, rollups.daily_metrics),
-        ("agg_user_behavior", S.AGG_USER_BEHAVIOR, rollups.new_user_behavior, rollups.user_behavior),
+    for name, schema, complete, missing, fresh in (
+        (
+            "agg_daily_metrics",
+            S.AGG_DAILY_METRICS,
+            rollups.daily_metrics,
+            rollups.dates_without_metrics,
+            rollups.new_daily_metrics,
+        ),
+        (
+            "agg_user_behavior",
+            S.AGG_USER_BEHAVIOR,
+            rollups.user_behavior,
+            rollups.dates_without_behavior,
+            rollups.new_user_behavior,
+        ),
     ):
         path = lake.table(name)
         existing = zones.read_table(spark, path, schema)
@@ -128,8 +144,10 @@ def load_rollups(
             dates = facts.select(F.col("dt").alias("date_key")).distinct()
             kept = existing.join(dates, "date_key", "left_anti")
             tables.replace_table(spark, kept.unionByName(complete(facts)), path)
-        else:
-            tables.append_rows(fresh(facts, existing), path)
+            continue
+        dates = [row.dt for row in missing(facts, existing).collect()]
+        if dates:
+            tables.append_rows(fresh(facts.filter(F.col("dt").isin(dates)), existing), path)
 
 
 def check_references(spark: SparkSession, lake: Lake) -> DataFrame:

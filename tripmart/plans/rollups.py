@@ -65,18 +65,30 @@ def user_behavior(facts: DataFrame) -> DataFrame:
     return renamed.select(*S.AGG_USER_BEHAVIOR.fieldNames())
 
 
-def new_daily_metrics(facts: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rollup rows of dates the target does not hold yet.
+def _known_dates(existing: DataFrame) -> DataFrame:
+    return existing.select(F.col("date_key").alias("dt"))
 
-    Dates are dropped before aggregating, so known days cost a scan only.
-    """
-    known = existing.select(F.col("date_key").alias("dt"))
-    return daily_metrics(absent_rows(facts, known, ["dt"]))
+
+def _without_known_pairs(rides: DataFrame, existing: DataFrame) -> DataFrame:
+    return not_in_pairs(rides, existing, ("dt", "member_casual"), ("date_key", "member_type"))
+
+
+def new_daily_metrics(facts: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rollup rows of dates the target does not hold yet."""
+    return daily_metrics(absent_rows(facts, _known_dates(existing), ["dt"]))
 
 
 def new_user_behavior(facts: DataFrame, existing: DataFrame) -> DataFrame:
     """Rollup rows of (date, rider type) pairs the target does not hold yet."""
-    fresh = not_in_pairs(
-        facts, existing, ("dt", "member_casual"), ("date_key", "member_type")
-    )
-    return user_behavior(fresh)
+    return user_behavior(_without_known_pairs(facts, existing))
+
+
+def dates_without_metrics(facts: DataFrame, existing: DataFrame) -> DataFrame:
+    """Dates ``new_daily_metrics`` has rows for; reads the date column only."""
+    return absent_rows(facts.select("dt").distinct(), _known_dates(existing), ["dt"])
+
+
+def dates_without_behavior(facts: DataFrame, existing: DataFrame) -> DataFrame:
+    """Dates ``new_user_behavior`` has rows for; reads date and rider type only."""
+    pairs = facts.select("dt", "member_casual").distinct()
+    return _without_known_pairs(pairs, existing).select("dt").distinct()

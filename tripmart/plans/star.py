@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
-from tripmart.functions import bands, exact
+from tripmart.functions import bands, exact, periods
 from tripmart.operators.merge import orphans
 
 
@@ -19,7 +19,7 @@ def fact_rides(
     batch_id: str | None = None,
 ) -> DataFrame:
     """One row per ride; measures are decimals from here on."""
-    stamp = F.lit(run_ts).cast("timestamp")
+    stamp = periods.run_stamp(run_ts)
     minutes, km = F.col("trip_duration_minutes"), F.col("trip_distance_km")
     hours = minutes / F.lit(60.0)
     # Durations are whole seconds, so speed divides decimals and rounds once.
