@@ -82,7 +82,7 @@ def test_parsing_accepts_what_the_format_accepts(spark):
     ]
     both = column(spark, texts, "string").select(
         "x",
-        trip.parse_timestamp(F.col("x")).alias("ours"),
+        trip.parse_timestamp("x").alias("ours"),
         F.try_to_timestamp("x", F.lit("yyyy-MM-dd HH:mm:ss[.SSS]")).alias("format"),
     )
     rows = both.collect()

@@ -10,26 +10,30 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(column: str) -> Column:
     """Timestamp of a fixed pattern; null where the text does not follow it.
 
     Every raw row is parsed twice, and Spark's cast takes a fraction of the time
     of parsing by format. It also takes more forms, so the form is checked: by
     length and separators for the common one, by pattern for all others.
     """
-    common = (
-        (F.octet_length(text) == 19)
-        & (F.instr(text, F.lit("-")) == 5)
-        & (F.instr(text, F.lit(" ")) == 11)
-        & (F.locate(":", text, 15) == 17)
-        & ~text.endswith("Z")
+    return F.expr(
+        f"""
+        CASE WHEN octet_length({column}) = 19
+              AND instr({column}, '-') = 5
+              AND instr({column}, ' ') = 11
+              AND locate(':', {column}, 15) = 17
+              AND NOT endswith({column}, 'Z')
+             THEN TRY_CAST({column} AS TIMESTAMP)
+             WHEN {column} RLIKE r'{S.TIMESTAMP_PATTERN}'
+             THEN TRY_CAST({column} AS TIMESTAMP)
+        END
+        """
     )
-    parsed = text.try_cast("timestamp")
-    return F.when(common, parsed).when(text.rlike(S.TIMESTAMP_PATTERN), parsed)
 
 
-def load_date(text: Column) -> Column:
-    return F.to_date(parse_timestamp(text))
+def load_date(column: str) -> Column:
+    return F.to_date(parse_timestamp(column))
 
 
 def minutes_between(start: Column, end: Column) -> Column:
@@ -37,20 +41,26 @@ def minutes_between(start: Column, end: Column) -> Column:
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60)
 
 
-def great_circle_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Spherical law of cosines.
+def great_circle_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
+    """Spherical law of cosines, between two points given as columns in degrees.
 
     For equal points rounding may leave the cosine just below 1, which reads as
     some decimetres, or just above, where ``acos`` has no value. Equal points are
-    0 apart by rule, and the clamp covers points that are nearly equal.
+    0 apart by rule, and the clamp covers points that are nearly equal. A missing
+    coordinate gives no distance.
     """
-    same_place = (lat1 == lat2) & (lng1 == lng2)
-    lat1, lng1, lat2, lng2 = (F.radians(c) for c in (lat1, lng1, lat2, lng2))
-    cosine = F.sin(lat1) * F.sin(lat2) + F.cos(lat1) * F.cos(lat2) * F.cos(lng2 - lng1)
-    # greatest/least skip nulls, so a missing coordinate is kept missing here.
-    clamped = F.when(cosine.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
-    km = F.acos(clamped) * F.lit(S.EARTH_RADIUS_KM)
-    return F.when(same_place, F.lit(0.0)).otherwise(km)
+    cosine = f"""(
+        sin(radians({lat1})) * sin(radians({lat2}))
+        + cos(radians({lat1})) * cos(radians({lat2})) * cos(radians({lng2}) - radians({lng1})))
+    """
+    return F.expr(
+        f"""
+        CASE WHEN {lat1} = {lat2} AND {lng1} = {lng2} THEN 0.0D
+             WHEN {cosine} IS NOT NULL
+             THEN acos(greatest(-1.0D, least(1.0D, {cosine}))) * {S.EARTH_RADIUS_KM}
+        END
+        """
+    )
 
 
 def known_or_unknown(value: Column, known: Sequence[str]) -> Column:

@@ -39,17 +39,17 @@ def filter_required(trips: DataFrame) -> DataFrame:
 
 def with_measures(trips: DataFrame) -> DataFrame:
     """Parsed timestamps, minutes and kilometres."""
-    parsed = trips.withColumns(
+    start, end = trip.parse_timestamp("started_at"), trip.parse_timestamp("ended_at")
+    return trips.withColumns(
         {
-            "started_at_ts": trip.parse_timestamp(F.col("started_at")),
-            "ended_at_ts": trip.parse_timestamp(F.col("ended_at")),
+            "started_at_ts": start,
+            "ended_at_ts": end,
+            "trip_duration_minutes": trip.minutes_between(start, end),
+            "trip_distance_km": trip.great_circle_km(
+                "start_lat", "start_lng", "end_lat", "end_lng"
+            ),
         }
     )
-    minutes = trip.minutes_between(F.col("started_at_ts"), F.col("ended_at_ts"))
-    corners = (F.col(c) for c in ("start_lat", "start_lng", "end_lat", "end_lng"))
-    return parsed.withColumns(
-        {"trip_duration_minutes": minutes, "trip_distance_km": trip.great_circle_km(*corners)}
-    )
 
 
 def plausible() -> Column:

@@ -23,7 +23,7 @@ def quality_report(raw: DataFrame) -> DataFrame:
     One pass without a shuffle, and a second one over ``ride_id`` only for the
     exact distinct count: cheaper than sending every counter along with every id.
     """
-    started = trip.parse_timestamp(F.col("started_at"))
+    started = trip.parse_timestamp("started_at")
     profile = raw.agg(
         F.count(F.lit(1)).alias("total_records"),
         *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in S.REQUIRED_FIELDS),

@@ -37,8 +37,11 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def merge_table(spark: SparkSession, source: DataFrame, path: str, spec: MergeSpec) -> None:
-    """Upsert into a mart table; repeating a merge changes nothing."""
-    rows = merge.cast_to_spec(source, spec)
+    """Upsert into a mart table; repeating a merge changes nothing.
+
+    Rows without a key have no place in a keyed table and are left out.
+    """
+    rows = merge.cast_to_spec(source, spec).filter(F.col(spec.key).isNotNull())
     target = read_table(spark, path, spec.schema)
     if spec.partition:
         _merge_partitions(spark, rows, target, path, spec)

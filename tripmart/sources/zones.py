@@ -15,7 +15,7 @@ from tripmart.functions import periods, trip
 
 
 def with_load_date(trips: DataFrame) -> DataFrame:
-    return trips.withColumn("dt", trip.load_date(F.col("started_at")))
+    return trips.withColumn("dt", trip.load_date("started_at"))
 
 
 def read_zone(
