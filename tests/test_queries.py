@@ -24,6 +24,13 @@ def test_same_as_sql(spark, con, name):
     assert differences(spark, con, SMALL, name) == []
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"raw_zone_scan", "write_verification"}))
+def test_plans_hold_no_nested_loops_or_python(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("NestedLoop", "Cartesian", "Python", "Pandas", "MapInArrow"):
+        assert operator not in plan
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import zipfile
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -310,3 +312,50 @@ def test_a_hot_date_is_split_over_files(spark, tmp_path):
     per_date = {r.dt: r.n for r in files.groupBy("dt").agg(F.count("f").alias("n")).collect()}
     assert per_date[date(2024, 4, 1)] > 1
     assert set(per_date.values()) - {per_date[date(2024, 4, 1)]} == {1}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_upsert_against_a_dictionary(spark, seed):
+    rng = random.Random(seed)
+
+    def rows(n, tag):
+        keys = rng.sample(range(60), n)
+        return [(f"S{k}", f"{tag}{k}", 1.0, 2.0, k, k, None, None) for k in keys]
+
+    old, new = rows(30, "old"), rows(40, "new")
+    spec = replace(S.STATION_MERGE, preserved=("latitude", "total_arrivals"))
+    new = [(k, name, 9.0, 9.0, 9, 9, None, None) for k, name, *_ in new]
+    target, source = (spark.createDataFrame(r, S.DIM_STATIONS) for r in (old, new))
+    expected = {row[0]: row for row in old}
+    for row in new:
+        kept = expected.get(row[0])
+        expected[row[0]] = row if kept is None else (*row[:2], kept[2], *row[3:5], kept[5], *row[6:])
+    merged = merge.upsert(target, source, spec)
+    assert rows_of(merged) == sorted(expected.values(), key=repr)
+    assert rows_of(merge.upsert(merged, source, spec)) == rows_of(merged)
+
+
+def test_rows_without_a_key_are_left_out(spark, tmp_path):
+    path = str(tmp_path / "dim_stations")
+    rows = [("A", "a", 1.0, 2.0, 1, 1, None, None), (None, "b", 1.0, 2.0, 1, 1, None, None)]
+    for _ in range(2):
+        source = spark.createDataFrame(rows, S.DIM_STATIONS)
+        tables.merge_table(spark, source, path, S.STATION_MERGE)
+    found = zones.read_table(spark, path, S.DIM_STATIONS).collect()
+    assert [r.station_id for r in found] == ["A"]
+
+
+def test_a_month_without_rides_changes_nothing(spark, tmp_path):
+    lake = monthly.Lake(str(tmp_path / "lake"))
+    zone_writer.write_zone(raw_frame(spark, [moved("R1", "2024-04-01")]), lake.raw)
+    assert monthly.transform_month(spark, lake, RUN_TS, "202404") == 1
+    assert monthly.transform_month(spark, lake, RUN_TS, "203001") == 0
+    monthly.load_star(spark, lake, RUN_TS, "202404")
+    monthly.load_rollups(spark, lake, "202404")
+    before = mart_rows(spark, lake)
+    assert monthly.clear_month(spark, lake, "203001") == dict.fromkeys(
+        ("agg_user_behavior", "agg_daily_metrics", "fact_rides", "dim_time"), 0
+    )
+    monthly.load_star(spark, lake, RUN_TS, "203001")
+    monthly.load_rollups(spark, lake, "203001")
+    assert mart_rows(spark, lake) == before
