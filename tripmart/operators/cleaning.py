@@ -12,7 +12,9 @@ from tripmart import schemas as S
 from tripmart.functions import bands, periods, trip
 
 
-def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column] | None = None):
+def first_per_key(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[Column] | None = None
+) -> DataFrame:
     """One row per key: the first in a total order, so reruns keep the same row.
 
     ``row_number() = 1`` lets Spark drop the losers of a key in each map task, so

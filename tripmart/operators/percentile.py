@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,13 +44,7 @@ def exact_percentiles(
 
     # A percentile lies between two neighbouring ranks; each is looked up in the
     # bucket that holds it.
-    wanted = F.array(
-        *(
-            F.struct(F.lit(name).alias("_name"), rank.alias("_rank"), weight.alias("_weight"))
-            for name, p in probabilities.items()
-            for rank, weight in _neighbours(p)
-        )
-    )
+    wanted = F.expr(f"array({', '.join(_neighbours(n, p) for n, p in probabilities.items())})")
     ranks = spans.select("*", F.inline(wanted)).filter(
         (F.col("_rank") >= F.col("_before"))
         & (F.col("_rank") < F.col("_before") + F.col("_rows"))
@@ -91,12 +84,13 @@ def exact_percentiles(
     )
 
 
-def _neighbours(p: float) -> list[tuple[Column, Column]]:
-    """The ranks around position ``p * (rows - 1)`` and their weights."""
-    position = F.lit(Decimal(str(p))) * (F.col("_total") - 1).cast("decimal(19,0)")
-    low = F.floor(position).cast("long")
-    upper_weight = (position - low).cast("decimal(7,6)")
-    return [
-        (low, (F.lit(1) - upper_weight).cast("decimal(7,6)")),
-        (low + 1, upper_weight),
-    ]
+def _neighbours(name: str, p: float) -> str:
+    """The two ranks around position ``p * (rows - 1)``, with their weights."""
+    position = f"{Decimal(str(p)):f}BD * CAST(_total - 1 AS DECIMAL(19, 0))"
+    low = f"CAST(floor({position}) AS BIGINT)"
+    above = f"CAST({position} - {low} AS DECIMAL(7, 6))"
+    return (
+        f"named_struct('_name', '{name}', '_rank', {low}, "
+        f"'_weight', CAST(1 - {above} AS DECIMAL(7, 6))), "
+        f"named_struct('_name', '{name}', '_rank', {low} + 1, '_weight', {above})"
+    )
