@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bitplanes, bpe, packing
+from tripmart.llm import bitplanes, bpe, licenses, neighbours, packing
 from tripmart.llm.tables import read
 
 
@@ -25,10 +25,20 @@ def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.round_trip(read(spark, sf_dir, "documents"), path, end=0)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op10_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_of(read(spark, sf_dir, "embeddings"), every=50, k=5, factor=1.0)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_bit_planes": op4_bit_planes,
+    "op5_license_scan": op5_license_scan,
+    "op10_vantage_trees": op10_vantage_trees,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_license_scan": licenses.SQL}
