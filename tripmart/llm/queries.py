@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bitplanes, bpe, licenses, neighbours, packing
+from tripmart.llm import bitplanes, bpe, languages, licenses, neighbours, packing, privacy, quality, spotsigs
 from tripmart.llm.tables import read
 
+#: Whoever holds the key can tell which surrogate belongs to an entity; a deployment gives its own.
+SURROGATE_KEY = "tripmart"
+
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +23,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bitplanes.round_trip(read(spark, sf_dir, "documents"), path, end=0)
@@ -29,6 +36,20 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = languages.fit_text(read(spark, sf_dir, "documents"))
+    return languages.of_pages(read(spark, sf_dir, "pages"), model)
+
+
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited(read(spark, sf_dir, "documents"), whole=False)
+
+
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = privacy.replace(read(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+    return replaced.select("doc_id", "text", "n_entities", "entity_kinds")
+
+
 def op10_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_of(read(spark, sf_dir, "embeddings"), every=50, k=5, factor=1.0)
 
@@ -36,8 +57,12 @@ def op10_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_neighbour_votes": op3_neighbour_votes,
     "op4_bit_planes": op4_bit_planes,
     "op5_license_scan": op5_license_scan,
+    "op6_language_fusion": op6_language_fusion,
+    "op8_spot_signatures": op8_spot_signatures,
+    "op9_surrogates": op9_surrogates,
     "op10_vantage_trees": op10_vantage_trees,
 }
 
