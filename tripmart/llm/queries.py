@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bitplanes, bpe, languages, licenses, neighbours, packing, privacy, quality, spotsigs
+from tripmart.llm import bitplanes, bpe, jaccard, languages, licenses, neighbours, packing, privacy, quality, spotsigs
 from tripmart.llm.tables import read
 
 #: Whoever holds the key can tell which surrogate belongs to an entity; a deployment gives its own.
@@ -41,6 +41,10 @@ def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.of_pages(read(spark, sf_dir, "pages"), model)
 
 
+def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"), width=3, threshold=jaccard.Threshold(90, 100))
+
+
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited(read(spark, sf_dir, "documents"), whole=False)
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op4_bit_planes": op4_bit_planes,
     "op5_license_scan": op5_license_scan,
     "op6_language_fusion": op6_language_fusion,
+    "op7_parity_join": op7_parity_join,
     "op8_spot_signatures": op8_spot_signatures,
     "op9_surrogates": op9_surrogates,
     "op10_vantage_trees": op10_vantage_trees,
