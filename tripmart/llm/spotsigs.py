@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm import components
 from tripmart.llm.textbytes import U64, Block, alphanumeric, blocks, mix, words
 from tripmart.llm.tables import written
 
@@ -214,53 +215,59 @@ def edited(df: DataFrame, whole: bool = True) -> DataFrame:
 
 
 def near(df: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Documents alike by their spots: doc_id, class_id (smallest doc_id of one fingerprint), n_links (other classes
-    with a Jaccard coefficient of at least ``threshold``). Texts without spots are linked with nothing.
-
-    Classes are compared, not copies. They are partitioned by set length: two sets that are alike differ little in
-    length, so a class meets its own and the next band only. A signature of the prefix, the first few of the sorted
-    set, must be shared, and sets whose lengths alone rule the threshold out are dropped before they are compared.
+    """Documents alike by their spots: doc_id, component_id (the smallest doc_id that links lead to). Two fingerprints
+    are linked if their Jaccard coefficient is ``threshold`` or more; empty ones are linked with nothing.
+
+    Classes of equal fingerprints are compared, not copies. They are partitioned by set length: sets that are alike
+    differ little in length, so a class meets its own and the next band only, and there those with which it shares one
+    of its first few signatures. Pairs whose lengths alone rule the threshold out are dropped before they are compared.
+    Each class is first compared with one other of each signature, then with those of other groups that it may be
+    linked to, so the pairs within a group are not all made.
     """
-    marks = written(fingerprints(df))
-    classes = written(
-        marks.filter(F.col("fingerprint") != "").groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
-    )
+    marks = written(fingerprints(df).withColumn("class", F.when(F.col("fingerprint") != "", F.xxhash64("fingerprint"))))
+    classes = marks.filter(F.col("class").isNotNull()).groupBy("class")
+    classes = written(classes.agg(F.min("doc_id").alias("least_id"), F.first("fingerprint").alias("fingerprint")))
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for class_id, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for number, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 spots = np.sort(mix(from_text(mark).astype(U64)))
-                n = len(spots)
-                band = int(np.floor(np.log(n) / -np.log(threshold)))
-                prefix = n - int(np.ceil(threshold * n - 1e-9)) + 1
-                rows += [(class_id, n, band, x) for x in spots[:prefix].view(np.int64).tolist()]
+                band = int(np.floor(np.log(len(spots)) / -np.log(threshold)))
+                first = spots[: len(spots) - int(np.ceil(threshold * len(spots) - 1e-9)) + 1]
+                for key in np.concatenate([mix(first + U64(band)), mix(first + U64(band + 1))]).view(np.int64).tolist():
+                    rows.append((key, number, len(spots)))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["class_id", "n", "band", "spot"])
-
-    kind = "class_id long, n long, band long, spot long"
-    rows = written(classes.select("class_id", "fingerprint").mapInArrow(explode, kind))
-    left = rows.select(F.col("class_id").alias("a"), F.col("n").alias("n_a"), "spot", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    right = rows.select(F.col("class_id").alias("b"), F.col("n").alias("n_b"), "spot", "band")
-    pairs = left.join(right, ["spot", "band"]).filter(
-        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
-        & (F.col("n_a") >= F.col("n_b") * threshold - 1e-9)
-    )
-    marks_a = classes.select(F.col("class_id").alias("a"), F.col("fingerprint").alias("mark_a"))
-    marks_b = classes.select(F.col("class_id").alias("b"), F.col("fingerprint").alias("mark_b"))
-    full = pairs.select("a", "b").distinct().join(marks_a, "a").join(marks_b, "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            alike = pa.array([likeness(from_text(x), from_text(y)) >= threshold - 1e-9 for x, y in marks], pa.bool_())
-            yield batch.select(["a", "b"]).filter(alike)
-
-    links = full.select("a", "b", "mark_a", "mark_b").mapInArrow(verify, "a long, b long")
-    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    return (
-        marks.join(classes, "fingerprint", "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-        .join(degree, "class_id", "left")
-        .select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["key", "class", "n"])
+
+    rows = written(classes.select("class", "fingerprint").mapInArrow(prefixes, "key long, class long, n long"))
+
+    def fit(a: str, b: str):
+        return (F.col(a) >= F.col(b) * threshold - 1e-9) & (F.col(b) >= F.col(a) * threshold - 1e-9)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        for name in ("a", "b"):
+            pairs = pairs.join(classes.select(F.col("class").alias(name), F.col("fingerprint").alias(f"mark_{name}")), name)
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                alike = pa.array([likeness(from_text(x), from_text(y)) >= threshold - 1e-9 for x, y in both], pa.bool_())
+                yield batch.select(["a", "b"]).filter(alike)
+
+        return written(pairs.select("a", "b", "mark_a", "mark_b").mapInArrow(check, "a long, b long"))
+
+    centre = rows.groupBy(F.col("key").alias("its_key")).agg(F.min(F.struct("class", "n")).alias("first"))
+    star = rows.join(centre, F.col("key") == F.col("its_key")).filter((F.col("class") != F.col("first.class")) & fit("n", "first.n"))
+    label = components.labels(verified(star.select(F.col("class").alias("a"), F.col("first.class").alias("b")).distinct()))
+    labelled = rows.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
+    left = labelled.select("key", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
+    right = labelled.select("key", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+    cross = left.join(right, "key").filter((F.col("label_a") != F.col("label_b")) & (F.col("a") < F.col("b")) & fit("n_a", "n_b"))
+    more = verified(cross.select("a", "b").distinct())
+    label = components.labels(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+    grouped = classes.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
+    least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    groups = grouped.join(least, "label").select(F.col("class").alias("its_class"), "component_id")
+    joined = marks.join(groups, F.col("class") == F.col("its_class"), "left")
+    return joined.select("doc_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
