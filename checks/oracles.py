@@ -51,7 +51,8 @@ timed AS (
            * cos(radians(end_lng) - radians(start_lng)) AS cosine
   FROM raw),
 measured AS (
-  SELECT *, CASE WHEN start_lat = end_lat AND start_lng = end_lng THEN 0
+  SELECT *, CASE WHEN isnan(start_lat + start_lng + end_lat + end_lng) THEN NULL
+                 WHEN start_lat = end_lat AND start_lng = end_lng THEN 0
                  ELSE 6371 * acos(CASE WHEN cosine > 1 THEN 1 WHEN cosine < -1 THEN -1
                                        ELSE cosine END) END AS km
   FROM timed),
@@ -60,8 +61,15 @@ complete AS (
   WHERE ride_id IS NOT NULL AND started_at IS NOT NULL
     AND ended_at IS NOT NULL AND rideable_type IS NOT NULL),
 valid AS (
-  -- copies of a ride are exact in this data
-  SELECT DISTINCT * FROM complete WHERE secs > 60 AND secs < 86400 AND km < 100),
+  -- of the copies of a ride the first in the order of all fields, plausible ones before others
+  SELECT * EXCLUDE (fit, place) FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY ride_id ORDER BY fit DESC, rideable_type NULLS FIRST, started_at NULLS FIRST,
+          ended_at NULLS FIRST, start_station_name NULLS FIRST, start_station_id NULLS FIRST,
+          end_station_name NULLS FIRST, end_station_id NULLS FIRST, start_lat NULLS FIRST, start_lng NULLS FIRST,
+          end_lat NULLS FIRST, end_lng NULLS FIRST, member_casual NULLS FIRST) AS place
+    FROM (SELECT *, coalesce(secs > 60 AND secs < 86400 AND km < 100, FALSE) AS fit FROM complete))
+  WHERE fit AND place = 1),
 staged AS (
   SELECT *,
          CAST(hour(ts0) AS BIGINT) AS h, CAST(dayofweek(ts0) + 1 AS BIGINT) AS dow,

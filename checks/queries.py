@@ -22,7 +22,6 @@ RUN_TS = datetime(2025, 7, 1)
 AS_OF = date(2025, 6, 30)
 MONTH = "202404"
 QUARTER = 2
-RIDERS = ("CASUAL", "GUEST", "MEMBER")
 SPLIT = date(2025, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,8 +332,8 @@ QUERIES: dict[str, Query] = {
     "yearly_comparison": _over_facts(reports.yearly_comparison),
     "member_vs_casual": _over_kpi(reports.member_vs_casual),
     "member_insights": _over_kpi(reports.member_insights),
-    "kpi_pivot": _over_kpi(reports.kpi_pivot, riders=RIDERS),
-    "distance_category_pivot": _over_facts(reports.distance_category_pivot, riders=RIDERS),
+    "kpi_pivot": _over_kpi(reports.kpi_pivot),
+    "distance_category_pivot": _over_facts(reports.distance_category_pivot),
     # trends
     "period_change": _over_months(trends.period_change),
     "growth_rates": _over_months(trends.growth_rates),

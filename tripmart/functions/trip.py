@@ -47,7 +47,7 @@ def great_circle_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
     For equal points rounding may leave the cosine just below 1, which reads as
     some decimetres, or just above, where ``acos`` has no value. Equal points are
     0 apart by rule, and the clamp covers points that are nearly equal. A missing
-    coordinate gives no distance.
+    coordinate, or one that is not a number, gives no distance.
     """
     cosine = f"""(
         sin(radians({lat1})) * sin(radians({lat2}))
@@ -55,7 +55,8 @@ def great_circle_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
     """
     return F.expr(
         f"""
-        CASE WHEN {lat1} = {lat2} AND {lng1} = {lng2} THEN 0.0D
+        CASE WHEN isnan({cosine}) THEN NULL
+             WHEN {lat1} = {lat2} AND {lng1} = {lng2} THEN 0.0D
              WHEN {cosine} IS NOT NULL
              THEN acos(greatest(-1.0D, least(1.0D, {cosine}))) * {S.EARTH_RADIUS_KM}
         END

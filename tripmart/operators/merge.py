@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import periods
+from tripmart.operators.cleaning import first_per_key
 from tripmart.schemas import MergeSpec
 
 
@@ -45,8 +46,8 @@ def absent_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the source rows with new keys; known keys stay as they are."""
-    return target.unionByName(absent_rows(source, target, keys))
+    """Target plus one source row for each new key; known keys stay as they are."""
+    return target.unionByName(first_per_key(absent_rows(source, target, keys), keys))
 
 
 def not_in_pairs(

@@ -246,7 +246,7 @@ def distance_category_pivot(facts: DataFrame, riders: Sequence[str] | None = Non
 
 
 def station_totals(facts: DataFrame, stations: DataFrame) -> DataFrame:
-    """Rides from each station. Names join the totals, not the rides."""
+    """Rides from each station, without a name where no station row has one. Names join the totals, not the rides."""
     per_station = (
         facts.filter(F.col("start_station_id").isNotNull())
         .groupBy("start_station_id", "dt")
@@ -269,7 +269,7 @@ def station_totals(facts: DataFrame, stations: DataFrame) -> DataFrame:
     )
     names = stations.select("station_id", "station_name")
     totals = [c for c in per_station.columns if c != "station_id"]
-    return per_station.join(names, "station_id").select("station_name", "station_id", *totals)
+    return per_station.join(names, "station_id", "left").select("station_name", "station_id", *totals)
 
 
 def station_popularity(facts: DataFrame, stations: DataFrame, limit: int = 20) -> DataFrame:
@@ -284,7 +284,8 @@ def station_popularity(facts: DataFrame, stations: DataFrame, limit: int = 20) -
 def top_routes(facts: DataFrame, stations: DataFrame, limit: int = 10) -> DataFrame:
     """Most ridden pairs of different station names.
 
-    Rides are summed per pair of ids before the two name lookups.
+    Rides are summed per pair of ids before the two name lookups. A station without
+    a name goes by its id.
     """
     pairs = (
         facts.filter(
@@ -309,7 +310,10 @@ def top_routes(facts: DataFrame, stations: DataFrame, limit: int = 10) -> DataFr
         )
 
     start, end = F.col("start_station_name"), F.col("end_station_name")
-    named = pairs.join(names("start"), "start_station_id").join(names("end"), "end_station_id")
+    named = pairs.join(names("start"), "start_station_id", "left").join(names("end"), "end_station_id", "left")
+    named = named.withColumns(
+        {f"{side}_station_name": F.coalesce(f"{side}_station_name", f"{side}_station_id") for side in ("start", "end")}
+    )
     routes = (
         named.filter(start != end)
         .groupBy("start_station_name", "end_station_name")

@@ -76,7 +76,7 @@ def dim_stations(staged: DataFrame) -> DataFrame:
 
     Each trip yields its two ends, which are counted per place in one shuffle
     with map-side partial sums; the second step merges the few places a station
-    was recorded at and keeps the lowest. Grouping the ends by station gives what
+    was recorded at and keeps the lowest, known names before missing ones. Grouping the ends by station gives what
     joining the distinct stations to both counts gives, without the joins.
     """
     minutes = exact.measure(F.col("trip_duration_minutes"))
@@ -110,7 +110,8 @@ def dim_stations(staged: DataFrame) -> DataFrame:
             )
         )
     )
-    lowest = F.min(F.struct("station_name", "latitude", "longitude"))
+    parts = ("station_name", "latitude", "longitude")
+    lowest = F.min(F.struct(*(x for c in parts for x in (F.isnull(c).alias(f"no_{c}"), F.col(c)))))
     stations = places.groupBy("station_id").agg(
         lowest.alias("place"),
         F.sum("out_rides").alias("total_departures"),
@@ -118,7 +119,8 @@ def dim_stations(staged: DataFrame) -> DataFrame:
         exact.mean_of(F.sum("out_minutes"), F.sum("out_timed"), 6).alias("avg_departure_duration"),
         exact.mean_of(F.sum("in_minutes"), F.sum("in_timed"), 6).alias("avg_arrival_duration"),
     )
-    return stations.select("station_id", "place.*", *S.DIM_STATIONS.fieldNames()[4:])
+    place = [F.col(f"place.{c}").alias(c) for c in parts]
+    return stations.select("station_id", *place, *S.DIM_STATIONS.fieldNames()[4:])
 
 
 def orphan_facts(facts: DataFrame, times: DataFrame, stations: DataFrame) -> DataFrame:
