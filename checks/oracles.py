@@ -257,6 +257,10 @@ MORNING_IDS = f"""(
 BODIES = {
     "raw_trips": f"SELECT {RAW_COLUMNS} FROM raw",
     "raw_zone_scan": f"SELECT {RAW_COLUMNS} FROM raw",
+    "raw_zone_reload": f"""
+        SELECT {RAW_COLUMNS}, CASE WHEN even THEN '202404' ELSE '202405' END AS batch
+        FROM (SELECT *, coalesce(CAST(substr(ride_id, 2) AS BIGINT) % 2 = 0, FALSE) AS even FROM raw)
+        WHERE NOT even OR member_casual = 'member'""",
     "month_slice": f"SELECT {RAW_COLUMNS} FROM raw WHERE strftime(dt, '%Y%m') = '202404'",
     "param_sql": f"""
         SELECT rider AS member_casual, COUNT(*) AS rides, {_total("km_u", 6)} AS km
@@ -277,6 +281,17 @@ BODIES = {
         origin="CASE WHEN CAST(substr(ride_id, 2) AS BIGINT) % 5 = 0 THEN 'old' ELSE 'trip_archive' END",
     )
     + " FROM fact",
+    "merge_table_fact": "SELECT "
+    + FACT_COLUMNS.format(
+        distance="km_u / 1000000.0",
+        created=f"CASE WHEN number % 5 < 3 THEN '2020-01-01 00:00:00' ELSE '{RUN_TS}' END",
+        origin="CASE WHEN number % 5 < 3 THEN 'old' ELSE 'trip_archive' END",
+    )
+    + """ FROM (
+        SELECT * REPLACE (CASE WHEN number % 7 = 0 AND number % 3 = 0 THEN dt + 1 ELSE dt END AS dt)
+        FROM (SELECT *, CAST(substr(ride_id, 2) AS BIGINT) AS number FROM fact)
+        WHERE number % 5 < 3 OR number % 7 <> 0)""",
+    "merge_table_time": _dim_time("CASE WHEN day(dt) <= 10 THEN 'OLD' ELSE upper(season) END"),
     "upsert_dim_stations": f"""
         WITH old AS ({_dim_stations("dt < DATE '2025-01-01'")}),
              new AS ({_dim_stations("dt >= DATE '2025-01-01'")})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import date, datetime
 from uuid import uuid4
@@ -15,7 +16,7 @@ from tripmart.fixtures import TRIPS_SQL
 from tripmart.functions import bands, periods
 from tripmart.operators import cleaning, merge, quality, trends
 from tripmart.plans import reports, rollups, star
-from tripmart.sinks import zone_writer
+from tripmart.sinks import tables, zone_writer
 from tripmart.sources import sql, zones
 
 RUN_TS = datetime(2025, 7, 1)
@@ -66,16 +67,62 @@ def _old_facts(facts: DataFrame) -> DataFrame:
 # --- queries that need more than one call -----------------------------------
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this run; a session without a shared folder, as in tests, is given a local one."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tripmart-"))
+    return zones.scratch_path(spark, f"{name}-{uuid4().hex}")
+
+
 def _raw_zone_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = zones.scratch_path(spark, f"raw-zone-{uuid4().hex}")
-    zone_writer.write_zone(raw_trips(spark, sf_dir), path)
+    path = new_folder(spark, "raw-zone")
+    zone_writer.write_batch(raw_trips(spark, sf_dir), path, MONTH)
     return zones.read_zone(spark, path, S.RAW_TRIPS)
 
 
+def _raw_zone_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches that share dates and have rows without one; the first is landed again, cut down."""
+    path, raw = new_folder(spark, "raw-zone"), raw_trips(spark, sf_dir)
+    even = F.coalesce(F.expr("CAST(substr(ride_id, 2) AS BIGINT) % 2 = 0"), F.lit(False))
+    zone_writer.write_batch(raw.filter(even), path, "202404")
+    zone_writer.write_batch(raw.filter(~even), path, "202405")
+    zone_writer.write_batch(raw.filter(even & (F.col("member_casual") == "member")), path, "202404")
+    return zones.read_zone(spark, path, S.RAW_TRIPS, with_batch=True)
+
+
+def _merged_twice(spark: SparkSession, name: str, target: DataFrame, source: DataFrame, spec) -> DataFrame:
+    """A table after merging the target and, twice, the source, read back."""
+    path = new_folder(spark, name)
+    tables.merge_table(spark, target, path, spec)
+    for _ in range(2):
+        tables.merge_table(spark, source, path, spec)
+    return zones.read_table(spark, path, spec.schema)
+
+
+def _merge_table_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known rides, of which every third lay a day later before, and every seventh is not in the source."""
+    now = facts(spark, sf_dir)
+    number = F.expr("CAST(substr(ride_id, 2) AS BIGINT)")
+    old = now.filter(number % 5 < 3).withColumns(
+        {
+            "dt": F.when(number % 3 == 0, F.date_add("dt", 1)).otherwise(F.col("dt")),
+            "data_source": F.lit("old"),
+            "created_at": periods.run_stamp(datetime(2020, 1, 1)),
+        }
+    )
+    return _merged_twice(spark, "fact", old, now.filter(number % 7 != 0), S.FACT_MERGE)
+
+
+def _merge_table_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = star.dim_time(staged(spark, sf_dir))
+    target = times.filter(F.col("day_of_month") <= 20).withColumn("season", F.lit("OLD"))
+    return _merged_twice(spark, "time", target, times.filter(F.col("day_of_month") > 10), S.TIME_MERGE)
+
+
 def _write_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = zones.scratch_path(spark, f"stage-zone-{uuid4().hex}")
+    path = new_folder(spark, "stage-zone")
     source = staged(spark, sf_dir)
-    zone_writer.write_zone(source, path)
+    zone_writer.write_batch(source, path, MONTH)
     return zone_writer.verify_zone(source, zones.read_zone(spark, path, S.STAGED_TRIPS))
 
 
@@ -267,11 +314,14 @@ QUERIES: dict[str, Query] = {
     # sources
     "raw_trips": raw_trips,
     "raw_zone_scan": _raw_zone_scan,
+    "raw_zone_reload": _raw_zone_reload,
     "month_slice": lambda spark, sf_dir: zones.month_slice(raw_trips(spark, sf_dir), MONTH),
     "param_sql": _param_sql,
     # sinks and maintenance
     "write_verification": _write_verification,
     "merge_dedup": _merge_dedup,
+    "merge_table_fact": _merge_table_fact,
+    "merge_table_time": _merge_table_time,
     "upsert_fact": _upsert_fact,
     "upsert_dim_stations": _upsert_dim_stations,
     "upsert_dim_time": _upsert_dim_time,

@@ -8,7 +8,7 @@ from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
-from pyspark.errors import PythonException
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import functions as F
 
 from tests.helpers import RUN_TS, raw_frame, rows_of, trip_row
@@ -40,29 +40,69 @@ def read_facts(spark, path):
     return zones.read_table(spark, path, S.FACT_RIDES)
 
 
-def test_zone_write_replaces_only_its_dates(spark, tmp_path):
+def test_a_batch_replaces_itself_and_no_other(spark, tmp_path):
     path = str(tmp_path / "zone")
-    first = raw_frame(spark, [moved("R1", "2024-04-01"), moved("R2", "2024-04-02")])
-    assert zone_writer.write_zone(first, path) == 2
-    second = raw_frame(spark, [moved("R3", "2024-04-02"), moved("R4", "2024-04-02")])
-    assert zone_writer.write_zone(second, path) == 2
-    zone = zones.read_zone(spark, path, S.RAW_TRIPS)
-    assert {r.ride_id for r in zone.collect()} == {"R1", "R3", "R4"}
-    check = zone_writer.verify_zone(second, zone).first()
-    assert tuple(check) == (1, 2, 2, True)
-    assert not zone_writer.verify_zone(first, zone).first().ok
-    days = [r.dt for r in zone_writer.first_partitions(zone).collect()]
-    assert days == [date(2024, 4, 1), date(2024, 4, 2)]
-
-
-def test_month_read_prunes_partitions(spark, tmp_path):
+    april = raw_frame(spark, [moved("R1", "2024-04-01"), moved("R2", "2024-04-30"), trip_row("R3", started_at="bad")])
+    may = raw_frame(spark, [moved("R4", "2024-04-30"), trip_row("R5", started_at=None)])
+    assert zone_writer.write_batch(april, path, "202404") == 3
+    assert zone_writer.write_batch(may, path, "202405") == 2
+    assert zones.read_zone(spark, path, S.RAW_TRIPS).count() == 5
+    again = raw_frame(spark, [moved("R2", "2024-04-30"), trip_row("R6", started_at="bad")])
+    zone_writer.write_batch(again, path, "202404")
+    zone = zones.read_zone(spark, path, S.RAW_TRIPS, with_batch=True)
+    assert rows_of(zone.select("batch", "ride_id")) == [("202404", "R2"), ("202404", "R6"), ("202405", "R4"), ("202405", "R5")]
+    read = zones.read_zone(spark, path, S.RAW_TRIPS, "202404")
+    assert tuple(zone_writer.verify_zone(again, read).first()) == (2, 2, 2, True)
+    assert not zone_writer.verify_zone(april, read).first().ok
+    assert [r.dt for r in zone_writer.first_partitions(read).collect()] == [None, date(2024, 4, 30)]
+
+
+def test_a_short_write_raises(spark, tmp_path):
     path = str(tmp_path / "zone")
-    rows = [moved("R1", "2024-03-31"), moved("R2", "2024-04-30"), moved("R3", "2024-05-01")]
-    zone_writer.write_zone(raw_frame(spark, rows), path)
+    zone_writer.write_batch(raw_frame(spark, [moved("R1", "2024-04-01")]), path, "202404")
+    with pytest.raises(zone_writer.WriteMismatch):
+        zone_writer.verify_rows(spark, f"{path}/batch=202404", 2)
+
+
+def test_batch_read_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    for batch in ("202403", "202404"):
+        zone_writer.write_batch(raw_frame(spark, [moved(f"R{batch}", "2024-03-31")]), path, batch)
     april = zones.read_zone(spark, path, S.RAW_TRIPS, "202404")
-    assert [r.ride_id for r in april.collect()] == ["R2"]
+    assert [r.ride_id for r in april.collect()] == ["R202404"]
     plan = april._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert "PartitionFilters: [isnotnull(batch" in plan
+
+
+def test_a_version_counts_when_it_is_whole(spark, tmp_path):
+    path = str(tmp_path / "dim_time")
+    march, april = (star.dim_time(staged_frame(spark, [moved("R", d)])) for d in ("2024-03-05", "2024-04-05"))
+    tables.merge_table(spark, march, path, S.TIME_MERGE)
+    # a run died while it wrote the next version
+    april.write.parquet(zones.version_path(path, 2))
+    (tmp_path / "dim_time" / "v=2" / "_SUCCESS").unlink()
+    assert zones.read_table(spark, path, S.DIM_TIME).count() == 1
+    tables.merge_table(spark, april, path, S.TIME_MERGE)
+    assert rows_of(zones.read_table(spark, path, S.DIM_TIME).select("month")) == [(3,), (4,)]
+    assert zones.versions(spark, path) == {1: True, 3: True}
+
+
+def test_only_a_first_load_may_find_no_table(spark, tmp_path):
+    path = str(tmp_path / "mistyped")
+    with pytest.raises(AnalysisException):
+        zones.read_table(spark, path, S.DIM_TIME)
+    assert zones.read_table(spark, path, S.DIM_TIME, first_load=True).count() == 0
+
+
+def test_merges_raise_on_what_they_cannot_hold(spark, tmp_path):
+    path = str(tmp_path / "dim_stations")
+    row = ("A", "a", 1.0, 2.0, 1, 1, None, None)
+    good = spark.createDataFrame([row], S.DIM_STATIONS)
+    with pytest.raises(Exception, match="total_departures cannot hold many"):
+        tables.merge_table(spark, good.withColumn("total_departures", F.lit("many")), path, S.STATION_MERGE)
+    with pytest.raises(ValueError, match="without station_id"):
+        tables.merge_table(spark, spark.createDataFrame([row, (None, *row[1:])], S.DIM_STATIONS), path, S.STATION_MERGE)
+    assert zones.versions(spark, path) == {}
 
 
 def test_upsert_keeps_preserved_columns_and_other_rows(spark, tmp_path):
@@ -99,7 +139,7 @@ def test_repeating_a_merge_repairs_a_half_copied_one(spark, tmp_path):
     tables.merge_table(spark, old, path, S.FACT_MERGE)
     # the new partition was copied, the old one not yet rewritten
     half = merge.upsert(old, merge.cast_to_spec(new, S.FACT_MERGE), S.FACT_MERGE)
-    zone_writer.write_zone(half, path)
+    zone_writer.write_partitions(half, path)
     assert read_facts(spark, path).count() == 2
     tables.merge_table(spark, new, path, S.FACT_MERGE)
     row = read_facts(spark, path).collect()
@@ -119,7 +159,7 @@ def test_merge_takes_one_row_per_key(spark, tmp_path):
 def test_insert_if_absent_leaves_known_rows(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     source = spark.createDataFrame([(1, "new"), (2, "new")], "k int, v string")
-    both = merge.insert_if_absent(target, source, ["k"])
+    both = merge.insert_if_absent(target, source.union(source).union(spark.createDataFrame([(2, "newer")], source.schema)), ["k"])
     assert rows_of(both) == [(1, "old"), (2, "new")]
 
 
@@ -127,10 +167,10 @@ def test_month_delete_of_any_dated_table(spark, tmp_path):
     path = str(tmp_path / "station_metrics")
     rows = [(date(2024, 3, 31), 1), (date(2024, 4, 1), 2), (date(2024, 4, 30), 3), (None, 4)]
     frame = spark.createDataFrame(rows, "date_key date, rides int")
-    frame.write.parquet(path)
+    tables.replace_table(spark, frame, path)
     assert tables.delete_month(spark, path, frame.schema, "date_key", "202404") == 2
     assert tables.delete_month(spark, path, frame.schema, "date_key", "202404") == 0
-    left = spark.read.parquet(path)
+    left = zones.read_table(spark, path, frame.schema)
     assert sorted(r.rides for r in left.collect()) == [1, 4]
 
 
@@ -181,6 +221,51 @@ def test_archive_without_the_month_fails(spark, tmp_path):
         archives.read_archives(spark, str(path), "202404").count()
 
 
+def test_archive_without_a_column_fails(spark, tmp_path):
+    path = tmp_path / "202404.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("202404-city-tripdata.csv", "ride_id,started_at\nR1,2024-04-01 08:00:00\n")
+    with pytest.raises(ValueError, match="no column rideable_type"):
+        archives.read_archives(spark, str(path), "202404")
+
+
+def test_archives_of_several_layouts(spark, tmp_path):
+    names = S.TRIP_COLUMNS.fieldNames()
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("__MACOSX/202404-city-tripdata.csv", "junk")
+        row = [str(x) for x in trip_row("R1")]
+        row[names.index("start_station_name")] = '"A ""big""\nstreet, north"'
+        row[names.index("end_station_name")] = '""'
+        archive.writestr("202404-city-tripdata.csv", ",".join(names) + "\r\n" + ",".join(row) + "\r\n")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as archive:
+        row = [str(x) for x in trip_row("R2")][::-1]
+        archive.writestr("in/202404-city-tripdata.csv", "\ufeff" + ",".join(names[::-1]) + ",more\n" + ",".join(row) + ",x\n")
+    trips = archives.read_archives(spark, [str(tmp_path / "a.zip"), str(tmp_path / "b.zip")], "202404")
+    found = {r.ride_id: r for r in trips.collect()}
+    assert found["R1"].start_station_name == 'A "big"\nstreet, north' and found["R1"].end_station_name is None
+    assert found["R2"].start_lat == 41.8 and found["R2"].dt == date(2024, 4, 10)
+    plan = trips._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_missing_references_fail(spark, tmp_path):
+    lake = monthly.Lake(str(tmp_path / "lake"))
+    tables.merge_table(spark, fact_frame(spark, [moved("R1", "2024-04-01")]), lake.table("fact_rides"), S.FACT_MERGE)
+    with pytest.raises(monthly.MissingReferences, match="dt: 1 rows"):
+        monthly.require_references(monthly.check_references(spark, lake))
+
+
+def test_undated_rows_are_profiled_and_strays_loaded(spark, tmp_path):
+    lake = monthly.Lake(str(tmp_path / "lake"))
+    rows = [moved("R1", "2024-04-30"), moved("R2", "2024-05-01"), trip_row("R3", started_at="bad"), trip_row("R4", started_at=None)]
+    write_archive(tmp_path / "202405.zip", "202405-city-tripdata.csv", rows)
+    report = monthly.run_month(spark, str(tmp_path / "202405.zip"), lake, "202405", RUN_TS, statistics=False)
+    profile = report.quality.first()
+    assert (profile.total_records, profile.null_started_at, profile.unparsable_started_at) == (4, 1, 1)
+    assert sorted(r.dt for r in read_facts(spark, lake.table("fact_rides")).collect()) == [date(2024, 4, 30), date(2024, 5, 1)]
+    assert zones.read_table(spark, lake.table("agg_daily_metrics"), S.AGG_DAILY_METRICS).count() == 2
+
+
 def mart_rows(spark, lake):
     return {
         name: rows_of(zones.read_table(spark, lake.table(name), schema))
@@ -305,7 +390,7 @@ def test_a_hot_date_is_split_over_files(spark, tmp_path):
     spark.conf.set(size, "10k")
     try:
         frame = raw_frame(spark, rows).repartition(8)
-        assert zone_writer.write_zone(frame, path) == 6028
+        assert zone_writer.write_partitions(frame, path) == 6028
     finally:
         spark.conf.set(size, before)
     files = spark.read.parquet(path).select("dt", F.input_file_name().alias("f")).distinct()
@@ -335,19 +420,9 @@ def test_upsert_against_a_dictionary(spark, seed):
     assert rows_of(merge.upsert(merged, source, spec)) == rows_of(merged)
 
 
-def test_rows_without_a_key_are_left_out(spark, tmp_path):
-    path = str(tmp_path / "dim_stations")
-    rows = [("A", "a", 1.0, 2.0, 1, 1, None, None), (None, "b", 1.0, 2.0, 1, 1, None, None)]
-    for _ in range(2):
-        source = spark.createDataFrame(rows, S.DIM_STATIONS)
-        tables.merge_table(spark, source, path, S.STATION_MERGE)
-    found = zones.read_table(spark, path, S.DIM_STATIONS).collect()
-    assert [r.station_id for r in found] == ["A"]
-
-
 def test_a_month_without_rides_changes_nothing(spark, tmp_path):
     lake = monthly.Lake(str(tmp_path / "lake"))
-    zone_writer.write_zone(raw_frame(spark, [moved("R1", "2024-04-01")]), lake.raw)
+    zone_writer.write_batch(raw_frame(spark, [moved("R1", "2024-04-01")]), lake.raw, "202404")
     assert monthly.transform_month(spark, lake, RUN_TS, "202404") == 1
     assert monthly.transform_month(spark, lake, RUN_TS, "203001") == 0
     monthly.load_star(spark, lake, RUN_TS, "202404")

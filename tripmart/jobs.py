@@ -51,7 +51,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.step == "load":
         monthly.load_star(spark, lake, run_ts, month)
         monthly.load_rollups(spark, lake, month, options.refresh)
-        monthly.check_references(spark, lake).show()
+        monthly.require_references(monthly.check_references(spark, lake, month))
+        monthly.refresh_statistics(spark, lake)
     else:
         report = monthly.run_month(
             spark, options.archives, lake, month, run_ts, options.refresh
@@ -60,8 +61,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         print("deleted:", report.deleted)
         for profile in (report.quality, report.cleaning, report.summary):
             profile.show(truncate=False, vertical=True)
-        report.distribution.show(60, truncate=False)
-        report.orphans.show()
+        report.distribution.show(report.distribution.count(), truncate=False)
 
 
 def main() -> None:
@@ -70,6 +70,7 @@ def main() -> None:
         SparkSession.builder.appName(f"tripmart-{options.step}")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     try:

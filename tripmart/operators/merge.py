@@ -13,10 +13,17 @@ from tripmart.schemas import MergeSpec
 
 
 def cast_to_spec(source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """The target's columns and types; text that does not convert becomes null."""
-    return source.select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema.fields)
-    )
+    """The target's columns and types; a value that does not convert raises."""
+
+    def cast(field) -> Column:
+        value = F.col(field.name)
+        if source.schema[field.name].dataType == field.dataType:
+            return value.alias(field.name)
+        converted = value.try_cast(field.dataType)
+        message = F.concat(F.lit(f"{spec.table}.{field.name} cannot hold "), value.cast("string"))
+        return F.when(value.isNotNull() & converted.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(converted).alias(field.name)
+
+    return source.select(*(cast(field) for field in spec.schema.fields))
 
 
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:

@@ -6,11 +6,13 @@ step can be repeated on its own. Repeating a month leaves the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart import schemas as S
 from tripmart.operators import cleaning, quality
@@ -55,26 +57,44 @@ class MonthReport:
 def ingest_month(
     spark: SparkSession, archives: str | list[str], lake: Lake, month: str, **options
 ) -> int:
-    """Landed archives to the raw zone; replaces the dates they hold."""
-    return zone_writer.write_zone(read_archives(spark, archives, month, **options), lake.raw)
+    """Landed archives to the raw zone, as the batch of their month; replaces that batch, no other."""
+    return zone_writer.write_batch(read_archives(spark, archives, month, **options), lake.raw, month)
 
 
 def transform_month(
     spark: SparkSession, lake: Lake, run_ts: datetime, month: str | None = None
 ) -> int:
-    """Raw zone to stage zone, for one month or all."""
-    raw = zones.read_zone(spark, lake.raw, S.RAW_TRIPS, month)
-    return zone_writer.write_zone(cleaning.stage_trips(raw, run_ts), lake.stage)
+    """Raw zone to stage zone, batch by batch, for one month or all; returns the rows staged."""
+    whole = zones.read_zone(spark, lake.raw, S.RAW_TRIPS, with_batch=True)
+    batches = [month] if month else sorted(row.batch for row in whole.select("batch").distinct().collect())
+    rows = 0
+    for batch in batches:  # one for each month there is
+        raw = zones.read_zone(spark, lake.raw, S.RAW_TRIPS, batch)
+        rows += zone_writer.write_batch(cleaning.stage_trips(raw, run_ts), lake.stage, batch)
+    return rows
+
+
+#: Rollups that a month is deleted from: name, schema, date column.
+ROLLUPS = (
+    ("agg_user_behavior", S.AGG_USER_BEHAVIOR, "date_key"),
+    ("agg_daily_metrics", S.AGG_DAILY_METRICS, "date_key"),
+)
 
 
-def clear_month(spark: SparkSession, lake: Lake, month: str) -> dict[str, int]:
-    """Delete a month from the mart: rollups, facts, then dates no fact needs."""
+def clear_month(
+    spark: SparkSession,
+    lake: Lake,
+    month: str,
+    others: Sequence[tuple[str, T.StructType, str]] = (),
+) -> dict[str, int]:
+    """Delete a month from the mart: rollups, facts, then dates no fact needs.
+
+    ``others`` are further unpartitioned tables with a date column, as (name, schema,
+    date column), that are kept outside this package.
+    """
     deleted = {}
-    for name, schema in (
-        ("agg_user_behavior", S.AGG_USER_BEHAVIOR),
-        ("agg_daily_metrics", S.AGG_DAILY_METRICS),
-    ):
-        deleted[name] = tables.delete_month(spark, lake.table(name), schema, "date_key", month)
+    for name, schema, date_col in (*others, *ROLLUPS):
+        deleted[name] = tables.delete_month(spark, lake.table(name), schema, date_col, month)
     fact_path = lake.table("fact_rides")
     deleted["fact_rides"] = tables.delete_month(
         spark, fact_path, S.FACT_RIDES, "dt", month, partitioned=True
@@ -84,7 +104,7 @@ def clear_month(spark: SparkSession, lake: Lake, month: str) -> dict[str, int]:
         lake.table("dim_time"),
         S.TIME_MERGE,
         month,
-        zones.read_table(spark, fact_path, S.FACT_RIDES),
+        zones.read_table(spark, fact_path, S.FACT_RIDES, first_load=True),
         "dt",
     )
     return deleted
@@ -99,10 +119,12 @@ def load_star(
 ) -> None:
     """Stage zone to star schema, dimensions before the facts that refer to them.
 
-    Station totals always cover the whole stage zone, whichever month is loaded.
+    A month is a batch: the rides of its archive, on whatever dates. Station totals
+    always cover the whole stage zone; of a ride in several batches the latest counts.
     """
-    everything = zones.read_zone(spark, lake.stage, S.STAGED_TRIPS)
-    chosen = zones.month_slice(everything, month) if month else everything
+    whole = zones.read_zone(spark, lake.stage, S.STAGED_TRIPS, with_batch=True)
+    everything = cleaning.first_per_key(whole, "ride_id", [F.col("batch").desc()]).drop("batch")
+    chosen = zones.read_zone(spark, lake.stage, S.STAGED_TRIPS, month) if month else everything
     for spec, rows in (
         (S.TIME_MERGE, star.dim_time(chosen)),
         (S.STATION_MERGE, star.dim_stations(everything)),
@@ -119,9 +141,11 @@ def load_rollups(
     The dates to add are looked up first, so that the facts' other partitions are
     not read. There is one per day, few enough to pass through the driver.
     """
-    facts = zones.read_table(spark, lake.table("fact_rides"), S.FACT_RIDES)
-    if month:
-        facts = zones.month_slice(facts, month)
+    facts = zones.read_table(spark, lake.table("fact_rides"), S.FACT_RIDES, first_load=True)
+    if month:  # the dates of the batch, which may lie outside the month
+        staged = zones.read_zone(spark, lake.stage, S.STAGED_TRIPS, month)
+        days = [row.dt for row in staged.select("dt").distinct().collect()]
+        facts = facts.filter(F.col("dt").isin(days))
     for name, schema, complete, missing, fresh in (
         (
             "agg_daily_metrics",
@@ -139,7 +163,7 @@ def load_rollups(
         ),
     ):
         path = lake.table(name)
-        existing = zones.read_table(spark, path, schema)
+        existing = zones.read_table(spark, path, schema, first_load=True)
         if refresh:
             dates = facts.select(F.col("dt").alias("date_key")).distinct()
             kept = existing.join(dates, "date_key", "left_anti")
@@ -147,18 +171,39 @@ def load_rollups(
             continue
         dates = [row.dt for row in missing(facts, existing).collect()]
         if dates:
-            tables.append_rows(fresh(facts.filter(F.col("dt").isin(dates)), existing), path)
+            tables.append_rows(spark, fresh(facts.filter(F.col("dt").isin(dates)), existing), path, schema)
+
 
+class MissingReferences(RuntimeError):
+    """Facts refer to dimension rows that are not there."""
 
-def check_references(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Facts without their dimension rows; empty after a sound load."""
+
+def check_references(spark: SparkSession, lake: Lake, month: str | None = None) -> DataFrame:
+    """Facts without their dimension rows; empty after a sound load. A month checks the dates of its batch."""
     facts, times, stations = (
-        zones.read_table(spark, lake.table(spec.table), spec.schema)
+        zones.read_table(spark, lake.table(spec.table), spec.schema, first_load=True)
         for spec in (S.FACT_MERGE, S.TIME_MERGE, S.STATION_MERGE)
     )
+    if month:
+        staged = zones.read_zone(spark, lake.stage, S.STAGED_TRIPS, month)
+        facts = facts.filter(F.col("dt").isin([row.dt for row in staged.select("dt").distinct().collect()]))
     return star.orphan_facts(facts, times, stations)
 
 
+def require_references(orphans: DataFrame) -> None:
+    """Raise if any fact lacks a dimension row."""
+    rows = orphans.collect()  # one for each foreign key at most
+    if rows:
+        raise MissingReferences("; ".join(f"{r['reference']}: {r['orphan_rows']} rows" for r in rows))
+
+
+def refresh_statistics(spark: SparkSession, lake: Lake) -> None:
+    """Statistics of all mart tables, for the optimizer of those who read them by name."""
+    names = [spec.table for spec in (S.TIME_MERGE, S.STATION_MERGE, S.FACT_MERGE)] + [name for name, *_ in ROLLUPS]
+    there = {f"mart_{name}": lake.table(name) for name in names}
+    tables.refresh_statistics(spark, there)
+
+
 def run_month(
     spark: SparkSession,
     archives: str | list[str],
@@ -166,9 +211,10 @@ def run_month(
     month: str,
     run_ts: datetime,
     refresh: bool = False,
+    statistics: bool = True,
     **ingest_options,
 ) -> MonthReport:
-    """All steps for one ``yyyyMM`` month."""
+    """All steps for one ``yyyyMM`` month. Writes are verified, and missing references fail the run."""
     report = MonthReport(raw_rows=ingest_month(spark, archives, lake, month, **ingest_options))
     raw = zones.read_zone(spark, lake.raw, S.RAW_TRIPS, month)
     report.quality = quality.quality_report(raw)
@@ -180,5 +226,8 @@ def run_month(
     report.deleted = clear_month(spark, lake, month)
     load_star(spark, lake, run_ts, month)
     load_rollups(spark, lake, month, refresh)
-    report.orphans = check_references(spark, lake)
+    report.orphans = check_references(spark, lake, month)
+    require_references(report.orphans)
+    if statistics:
+        refresh_statistics(spark, lake)
     return report

@@ -1,53 +1,79 @@
 """Mart tables: merge, month delete, append, replace, statistics.
 
-A changed table is first written whole to a staging folder on shared storage and
-then copied over the target. The target is never overwritten by a plan that still
-reads it, and a lost executor only costs the tasks it ran.
+An unpartitioned table is changed by writing its next version, which counts from the
+moment it is whole. A partitioned one is changed by partitions: the new rows of those
+that a merge touches are first written to a folder of the run on shared storage and
+then copied over, so a merge that died is repaired by repeating it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import merge
 from tripmart.operators.cleaning import first_per_key
 from tripmart.schemas import MergeSpec
-from tripmart.sinks.zone_writer import write_zone
-from tripmart.sources.zones import read_table, staging_path
+from tripmart.sinks.zone_writer import WriteMismatch, verify_rows, write_partitions
+from tripmart.sources.zones import read_table, scratch_path, version_path, versions
 
 
-def _stage(spark: SparkSession, df: DataFrame, target: str) -> DataFrame:
-    path = staging_path(spark, target)
-    df.write.mode("overwrite").parquet(path)
+def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The frame, written to a folder of its own."""
+    path = scratch_path(spark, f"staging-{uuid4().hex}")
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite an unpartitioned table, also with a frame that reads it."""
-    _stage(spark, df, path).write.mode("overwrite").parquet(path)
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> int:
+    """Write the next version of an unpartitioned table, also from a frame that reads it; returns its rows.
 
+    The version before stays for readers that have it open, older ones and those that
+    were never finished go. Two runs that write the same version: the later one fails.
+    """
+    known = versions(spark, path)
+    number = max(known, default=0) + 1
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(version_path(path, number))
+    rows = written.get["rows"]
+    verify_rows(spark, version_path(path, number), rows)
+    last = max((k for k, whole in known.items() if whole), default=0)
+    _remove(spark, [version_path(path, k) for k in known if k != last])
+    return rows
+
+
+def _remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+
+def append_rows(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType) -> int:
+    """The next version of an unpartitioned table has the frame's rows too; returns how many they are."""
+    before = read_table(spark, path, schema, first_load=True)
+    added = df.select(*schema.fieldNames())
+    return replace_table(spark, before.unionByName(added), path) - before.count()
 
 
 def merge_table(spark: SparkSession, source: DataFrame, path: str, spec: MergeSpec) -> None:
     """Upsert into a mart table; repeating a merge changes nothing.
 
-    Rows without a key have no place in a keyed table and are left out.
+    The source is computed once. Values that do not convert to the table's types, and
+    rows without a key, raise and change nothing.
     """
-    rows = merge.cast_to_spec(source, spec).filter(F.col(spec.key).isNotNull())
-    target = read_table(spark, path, spec.schema)
+    rows = _stage(spark, first_per_key(merge.cast_to_spec(source, spec), spec.key))
+    if not rows.filter(F.col(spec.key).isNull()).isEmpty():
+        raise ValueError(f"{spec.table}: rows without {spec.key}")
+    target = read_table(spark, path, spec.schema, first_load=True)
     if spec.partition:
         _merge_partitions(spark, rows, target, path, spec)
     else:
-        merged = merge.upsert(target, first_per_key(rows, spec.key), spec)
-        replace_table(spark, merged, path)
+        replace_table(spark, merge.upsert(target, rows, spec), path)
 
 
 def _merge_partitions(
@@ -65,19 +91,25 @@ def _merge_partitions(
     the run repairs that. Both reductions share the join's shuffle.
     """
     part = spec.partition
-    keys = source.select(spec.key).distinct()
-    now_at = target.select(spec.key, part).join(keys, spec.key, "left_semi")
+    now_at = target.select(spec.key, part).join(source.select(spec.key), spec.key, "left_semi")
     left_from = _days(now_at, part)
     touched = left_from | _days(source, part)
     affected = target.filter(F.col(part).isin(sorted(touched)))
-    unique = first_per_key(source, spec.key)
-    if not _days(affected, part):
-        write_zone(unique, path, part)
+    if affected.isEmpty():
+        write_partitions(source, path, part)
         return
-    merged = merge.upsert(first_per_key(affected, spec.key), unique, spec)
-    staged = _stage(spark, merged, path)
-    write_zone(staged, path, part)
-    clear_partitions(spark, path, spec.schema, part, left_from - _days(staged, part))
+    merged = merge.upsert(first_per_key(affected, spec.key), source, spec)
+    staged = _stage(spark, merged)
+    write_partitions(staged, path, part)
+    clear_partitions(spark, path, part, left_from - _days(staged, part))
+    verify_rows_of(spark, path, spec, touched, staged.count())
+
+
+def verify_rows_of(spark: SparkSession, path: str, spec: MergeSpec, days: set[date], expected: int) -> None:
+    """Raise if the touched partitions do not hold what was merged."""
+    found = read_table(spark, path, spec.schema).filter(F.col(spec.partition).isin(sorted(days))).count()
+    if found != expected:
+        raise WriteMismatch(f"{path} has {found} rows on the merged dates, {expected} were written")
 
 
 def _days(df: DataFrame, column: str) -> set[date]:
@@ -85,14 +117,9 @@ def _days(df: DataFrame, column: str) -> set[date]:
     return {row[0] for row in days.collect()}
 
 
-def clear_partitions(
-    spark: SparkSession, path: str, schema: T.StructType, partition: str, days: Iterable[date]
-) -> None:
-    """Replace the files of whole partitions by an empty one."""
-    columns = T.StructType([f for f in schema.fields if f.name != partition])
-    empty = spark.createDataFrame([], columns)
-    for day in sorted(days):
-        empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{partition}={day}")
+def clear_partitions(spark: SparkSession, path: str, partition: str, days: Iterable[date]) -> None:
+    """Drop whole partitions: their folders, without a job for each."""
+    _remove(spark, [f"{path}/{partition}={day}" for day in sorted(days)])
 
 
 def delete_month(
@@ -108,11 +135,11 @@ def delete_month(
     A table partitioned by its date loses whole partitions; any other is rewritten
     without the month.
     """
-    table = read_table(spark, path, schema)
+    table = read_table(spark, path, schema, first_load=True)
     doomed = merge.month_rows(table, date_col, month)
     if partitioned:
         per_day = doomed.groupBy(date_col).agg(F.count(F.lit(1)).alias("rows")).collect()
-        clear_partitions(spark, path, schema, date_col, [r[date_col] for r in per_day])
+        clear_partitions(spark, path, date_col, [r[date_col] for r in per_day])
         return sum(r["rows"] for r in per_day)
     deleted = doomed.count()
     if deleted:
@@ -129,26 +156,27 @@ def delete_unreferenced_month(
     reference: str,
 ) -> int:
     """Delete the month's dimension rows that no fact refers to."""
-    table = read_table(spark, path, spec.schema)
-    kept = merge.guarded_delete(table, spec.key, month, facts, reference)
-    staged = _stage(spark, kept, path)
-    deleted = table.count() - staged.count()
-    if deleted:
-        staged.write.mode("overwrite").parquet(path)
-    return deleted
+    table = read_table(spark, path, spec.schema, first_load=True)
+    doomed = merge.unreferenced(
+        merge.month_rows(table, spec.key, month), spec.key, merge.month_rows(facts, reference, month), reference
+    ).count()
+    if doomed:
+        replace_table(spark, merge.guarded_delete(table, spec.key, month, facts, reference), path)
+    return doomed
 
 
 def refresh_statistics(
     spark: SparkSession, tables: dict[str, str], columns: Sequence[str] | None = None
 ) -> None:
-    """Register the tables by name and compute their statistics.
+    """Register the tables by name, at their present versions, and compute their statistics.
 
     Column statistics cost a scan; naming columns limits it to the join and
     grouping keys of a large table.
     """
     for name, path in tables.items():
-        if not spark.catalog.tableExists(name):
-            spark.catalog.createTable(name, path=path, source="parquet")
+        done = [number for number, whole in versions(spark, path).items() if whole]
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: its files stay
+        spark.catalog.createTable(name, path=version_path(path, max(done)) if done else path, source="parquet")
         if _has_partitions(spark, name):
             spark.catalog.recoverPartitions(name)
         spark.catalog.refreshTable(name)

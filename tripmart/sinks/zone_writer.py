@@ -1,24 +1,22 @@
-"""Date-partitioned zone writes and their verification."""
+"""Zone writes and their verification."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_zone(df: DataFrame, path: str, partition: str = "dt") -> int:
-    """Replace the partitions present in the frame; returns the rows written.
+class WriteMismatch(RuntimeError):
+    """What was read back is not what was written."""
 
-    ``rebalance`` gathers a date's rows into few files, splits a date that is too
-    large for one task and merges small ones. The row count is taken while
-    writing, so the frame is computed once.
-    """
+
+def _write(df: DataFrame, path: str, partition: str, mode: str) -> int:
     written = Observation()
     (
         df.hint("rebalance", F.col(partition))
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .option("compression", "snappy")
         .partitionBy(partition)
         .parquet(path)
@@ -26,6 +24,32 @@ def write_zone(df: DataFrame, path: str, partition: str = "dt") -> int:
     return written.get["rows"]
 
 
+def write_batch(df: DataFrame, path: str, batch: str, partition: str = "dt") -> int:
+    """Replace a batch of a zone, whatever dates it had; returns the rows written.
+
+    Other batches stay, also where they share dates with this one. ``rebalance``
+    gathers a date's rows into few files, splits a date that is too large for one
+    task and merges small ones. The rows are counted while writing, so the frame is
+    computed once, and read back; a difference raises.
+    """
+    where = f"{path}/batch={batch}"
+    rows = _write(df, where, partition, "static")
+    verify_rows(df.sparkSession, where, rows)
+    return rows
+
+
+def write_partitions(df: DataFrame, path: str, partition: str = "dt") -> int:
+    """Replace the partitions of a table that the frame has; returns the rows written."""
+    return _write(df, path, partition, "dynamic")
+
+
+def verify_rows(spark: SparkSession, path: str, expected: int) -> None:
+    """Count what lies at ``path``, from the files' footers, and raise if it is not as expected."""
+    found = spark.read.parquet(path).count() if expected else 0
+    if found != expected:
+        raise WriteMismatch(f"{path} has {found} rows, {expected} were written")
+
+
 def partition_counts(df: DataFrame, partition: str = "dt") -> DataFrame:
     return df.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -1,10 +1,13 @@
-"""Parquet zones and mart tables, and the scratch folder for written intermediates."""
+"""Parquet zones and mart tables, and the scratch folder for written intermediates.
+
+A zone is partitioned by batch, the month of the archive, and within a batch by date.
+An unpartitioned mart table is kept as versions: folders of which the highest that was
+written to its end holds. A reader never sees a version that is being written.
+"""
 
 from __future__ import annotations
 
-import tempfile
-import zlib
-from functools import cache
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,45 +22,59 @@ def with_load_date(trips: DataFrame) -> DataFrame:
 
 
 def read_zone(
-    spark: SparkSession, path: str, schema: T.StructType, month: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, batch: str | None = None, with_batch: bool = False
 ) -> DataFrame:
-    """Zone table partitioned by ``dt``; a ``yyyyMM`` month prunes partitions."""
-    zone = spark.read.schema(schema).parquet(path)
-    return month_slice(zone, month) if month else zone
+    """Zone partitioned by batch and ``dt``; naming a batch prunes the others.
+
+    A batch has all rows of its archive, those without a date too.
+    """
+    zone = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.StringType())])).parquet(path)
+    zone = zone.filter(F.col("batch") == batch) if batch else zone
+    return zone if with_batch else zone.drop("batch")
 
 
 def month_slice(df: DataFrame, month: str, date_col: str = "dt") -> DataFrame:
     return df.filter(periods.in_month(F.col(date_col), month))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Mart table, or an empty frame of its schema before the first load."""
+def versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Versions of a table, and whether each was written to its end."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return {}
+    found = {}
+    for status in files.listStatus(root):
+        if name := re.fullmatch(r"v=(\d+)", status.getPath().getName()):
+            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            found[int(name[1])] = files.exists(done)
+    return found
+
+
+def version_path(path: str, number: int) -> str:
+    return f"{path}/v={number}"
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, first_load: bool = False
+) -> DataFrame:
+    """Mart table. One that is not there is an error, unless this may be its first load."""
+    done = [number for number, whole in versions(spark, path).items() if whole]
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        where = version_path(path, max(done)) if done else path
+        return spark.read.schema(schema).parquet(where).select(*schema.fieldNames())
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not first_load or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tripmart-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """Folder below the cluster's shared ``spark.checkpoint.dir``.
-
-    A single-machine session without that setting gets a temporary folder.
-    """
+    """Folder below the shared ``spark.checkpoint.dir``, which must be set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch()
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if "://" not in base and base.startswith("/"):
+        base = f"file://{base}" if spark.sparkContext.master.startswith("local") else base
     return f"{base.rstrip('/')}/tripmart/{name}"
-
-
-def staging_path(spark: SparkSession, target: str) -> str:
-    """One staging folder per target, overwritten by every run."""
-    return scratch_path(spark, f"staging-{zlib.crc32(target.encode()):08x}")
