@@ -333,3 +333,32 @@ def keep_one(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80,
     repeated = kept.select(F.col("doc_id").alias("own_id"), F.coalesce("text", F.lit("")).alias("own_text"), whole.alias("whole"))
     repeated = repeated.join(again, F.col("own_id") == F.col("again_id")).groupBy("own_id").agg(F.min_by("whole", "own_text").alias("whole"))
     return once.unionByName(repeated.select("whole.*"))
+
+
+def sql(width: int, threshold: Threshold) -> str:
+    """DuckDB SQL for ``join`` over ``documents``: all pairs of classes that share a shingle are counted."""
+    places = f"CASE WHEN len(w) >= {width} THEN range(len(w) - {width - 1}) WHEN len(w) > 0 THEN range(1) ELSE range(0) END"
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform({places}, lambda i: array_to_string(w[i + 1 : i + {width}], ' ')))) AS s
+  FROM docs),
+classes AS (
+  SELECT s, len(s) AS n, min(doc_id) AS id FROM sets WHERE len(s) > 0 GROUP BY s),
+shingles AS (
+  SELECT id, n, unnest(s) AS sh FROM classes),
+links AS (
+  SELECT a.id AS x, b.id AS y FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING {threshold.whole} * count(*) >= {threshold.part} * (a.n + b.n - count(*))),
+reach(x, y) AS (
+  SELECT id, id FROM classes
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, sets.doc_id) AS component_id
+FROM sets LEFT JOIN classes ON classes.s = sets.s LEFT JOIN least ON least.x = classes.id
+"""

@@ -10,6 +10,8 @@ from tripmart.llm.tables import read
 
 #: Whoever holds the key can tell which surrogate belongs to an entity; a deployment gives its own.
 SURROGATE_KEY = "tripmart"
+#: Words to a shingle, and the threshold of the registered join.
+OP7 = 3, jaccard.Threshold(90, 100)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(read(spark, sf_dir, "documents"), width=3, threshold=jaccard.Threshold(90, 100))
+    return jaccard.join(read(spark, sf_dir, "documents"), *OP7)
 
 
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +73,4 @@ QUERIES = {
     "op10_vantage_trees": op10_vantage_trees,
 }
 
-ORACLES = {"op5_license_scan": licenses.SQL}
+ORACLES = {"op5_license_scan": licenses.SQL, "op7_parity_join": jaccard.sql(*OP7)}
