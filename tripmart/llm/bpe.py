@@ -197,11 +197,10 @@ def round_trip(df: DataFrame, path: str, pattern: str, whole: bool = True) -> Da
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 rows = []
-                for text in part.column(1):
-                    ids = bpe.decimal(text.as_py() or "")
+                for ids in bpe.pieces.of_many([x or "" for x in part.column(1).to_pylist()], b","):
                     decoded = bpe.decode(ids)
                     row = ids.count(b",") + bool(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
                     rows.append(row + (ids.decode(), decoded) * whole)

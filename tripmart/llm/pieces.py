@@ -16,8 +16,8 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 #: No text has it: Spark's strings hold no lone surrogates.
 _CUT = "\ud800"
 
-#: Pieces kept per worker; when there are more, it starts again.
-KEPT = 600_000
+#: Pieces kept per worker in each of two generations; when the newer has more, it becomes the older.
+KEPT = 700_000
 
 
 class PieceCache:
@@ -25,27 +25,44 @@ class PieceCache:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT, spaces: bool = True):
         """spaces: whether a space belongs to the piece after it; else the tokenizer ignores white space."""
-        self.encode, self.kept, self.spaces, self.ids = encode, kept, spaces, {}
+        self.encode, self.kept, self.spaces = encode, kept, spaces
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def of(self, text: str, between: bytes = b"") -> bytes:
-        """The ids of a text, joined by ``between``."""
-        if not text:
-            return b""
+    def _learn(self, missing: set[str]) -> None:
+        """Take pieces over from the older generation, and encode those that it doesn't have either."""
+        if len(self.ids) > self.kept:
+            self.ids, self.older = {}, self.ids
+        known = {x: ids for x in missing if (ids := self.older.get(x)) is not None}
+        self.ids.update(known)
+        new = [x for x in missing if x not in known]
+        self.ids.update(zip(new, self.encode(new)))
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The pieces of a text, or None if it is encoded as a whole."""
         if _OTHER.search(text) or self.spaces and any(x in text for x in _RUNS):
-            return self.encode([text])[0]
-        if self.spaces:
-            pieces = text.replace(" ", _CUT + " ").split(_CUT)
-            if not pieces[0]:
-                del pieces[0]
-        else:
-            pieces = text.split()
-        known = self.ids
-        found = list(map(known.get, pieces))
-        if None in found:
-            missing = list({x for x, ids in zip(pieces, found) if ids is None})
-            if len(known) + len(missing) > self.kept:
-                known.clear()
-                missing = list(set(pieces))
-            known.update(zip(missing, self.encode(missing)))
-            found = [known[x] for x in pieces]
-        return between.join(found)
+            return None
+        if not self.spaces:
+            return text.split()
+        pieces = text.replace(" ", _CUT + " ").split(_CUT)
+        return pieces if pieces[0] else pieces[1:]
+
+    def of_many(self, texts: list[str], between: bytes = b"") -> list[bytes]:
+        """The ids of each text, joined by ``between``; what is new in all of them is encoded at once."""
+        cuts = [self._cut(text) for text in texts]
+        found = [cut and list(map(self.ids.get, cut)) for cut in cuts]
+        missing = {x for cut, ids in zip(cuts, found) if ids and None in ids for x, known in zip(cut, ids) if known is None}
+        if missing:
+            self._learn(missing)
+        out = []
+        for text, cut, ids in zip(texts, cuts, found):
+            if cut is None:
+                out.append(self.encode([text])[0])
+            else:
+                if ids and None in ids:
+                    ids = [self.ids[x] if known is None else known for x, known in zip(cut, ids)]
+                out.append(between.join(ids or ()))
+        return out
+
+    def of(self, text: str, between: bytes = b"") -> bytes:
+        return self.of_many([text], between)[0]
