@@ -19,7 +19,7 @@ from tripmart.llm import bitplanes, bpe, packing
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-PARTS = ["a", "b", " ", "  ", "\n", "é", "语", "!!", "aaaa", "'s", " ", "7", "the", "\t \t", "🙂", "ing", "Ж", " \x1c", "　"]
+PARTS = ["a", "b", ",", ".", "²", "_", "٣", "é", " ", "  ", "\n", "é", "语", "!!", "aaaa", "'s", " ", "7", "the", "\t \t", "🙂", "ing", "Ж", " \x1c", "　"]
 
 
 @pytest.fixture(scope="module")
@@ -81,10 +81,11 @@ def test_pieces_give_the_same_ids_as_whole_texts():
 
 
 def test_piece_cache_starts_again():
-    cache = packing.PieceCache(lambda xs: [x.encode() for x in xs], kept=3)
-    assert cache.of("a b c d e f g", b"|") == b"a| b| c| d| e| f| g"
-    assert cache.of("h b", b"|") == b"h| b"
-    assert len(cache.ids) <= 9 and cache.older
+    cache = packing.PieceCache(lambda xs: [x.encode() for x in xs], kept=3, between=b"|")
+    assert cache.of("a b c d e f g") == b"a| b| c| d| e| f| g"
+    assert cache.of("h b") == b"h| b"
+    assert cache.of("a, b.\nc d.e") == b"a|,| b|.|\n|c| d.e"
+    assert len(cache.ids) <= 16 and cache.older
 
 
 def naive_best_fit(lengths, capacity):

@@ -155,7 +155,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.matches = regex.compile(pattern).findall
         self._known: dict[str, bytes] = {}
-        self.pieces = PieceCache(self._joined)
+        self.pieces = PieceCache(self._joined, between=b",")
         self._bytes = {str(rank).encode(): token for token, rank in vocabulary.ranks.items()}
 
     def encode(self, text: str) -> list[int]:
@@ -174,7 +174,7 @@ class Encoder:
 
     def decimal(self, text: str) -> bytes:
         """The ids in decimal, joined by commas."""
-        return self.pieces.of(text, b",")
+        return self.pieces.of(text)
 
     def decode(self, decimal: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, decimal.split(b","))) if decimal else b""
@@ -200,7 +200,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, whole: bool = True) -> Da
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 rows = []
-                for ids in bpe.pieces.of_many([x or "" for x in part.column(1).to_pylist()], b","):
+                for ids in bpe.pieces.of_many([x or "" for x in part.column(1).to_pylist()]):
                     decoded = bpe.decode(ids)
                     row = ids.count(b",") + bool(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
                     rows.append(row + (ids.decode(), decoded) * whole)

@@ -13,30 +13,48 @@ from collections.abc import Callable
 #: White space and separators that a text isn't cut at.
 _OTHER = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
+#: A word, marks, and perhaps a line break and a word: no token spans these borders either.
+_WORD_AND_MARKS = re.compile(r"( ?\w*[^\W_])([.,]+)(?:(\n)(\w+))?")
 #: No text has it: Spark's strings hold no lone surrogates.
 _CUT = "\ud800"
 
 #: Pieces kept per worker in each of two generations; when the newer has more, it becomes the older.
-KEPT = 700_000
+KEPT = 900_000
 
 
 class PieceCache:
-    """``encode`` gives the ids, as bytes in the caller's form, of each of some strings."""
+    """``encode`` gives the ids, as bytes in the caller's form, of each of some strings; ``between`` joins them."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT, spaces: bool = True):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT, spaces: bool = True, between: bytes = b""):
         """spaces: whether a space belongs to the piece after it; else the tokenizer ignores white space."""
-        self.encode, self.kept, self.spaces = encode, kept, spaces
+        self.encode, self.kept, self.spaces, self.between = encode, kept, spaces, between
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _known(self, piece: str) -> bool:
+        """Whether the piece's ids are kept; those of the older generation are taken over."""
+        if piece in self.ids:
+            return True
+        if (ids := self.older.get(piece)) is None:
+            return False
+        self.ids[piece] = ids
+        return True
+
     def _learn(self, missing: set[str]) -> None:
-        """Take pieces over from the older generation, and encode those that it doesn't have either."""
+        """Take pieces over from the older generation, and encode the parts of those that it doesn't have either."""
         if len(self.ids) > self.kept:
             self.ids, self.older = {}, self.ids
-        known = {x: ids for x in missing if (ids := self.older.get(x)) is not None}
-        self.ids.update(known)
-        new = [x for x in missing if x not in known]
+        whole, parts = set(), {}
+        for piece in missing:
+            if not self._known(piece):
+                if found := _WORD_AND_MARKS.fullmatch(piece):
+                    parts[piece] = [x for x in found.groups() if x]
+                else:
+                    whole.add(piece)
+        new = [*whole, *({x for own in parts.values() for x in own if not self._known(x)} - whole)]
         self.ids.update(zip(new, self.encode(new)))
+        for piece, own in parts.items():
+            self.ids[piece] = self.between.join([self.ids[x] for x in own])
 
     def _cut(self, text: str) -> list[str] | None:
         """The pieces of a text, or None if it is encoded as a whole."""
@@ -47,8 +65,8 @@ class PieceCache:
         pieces = text.replace(" ", _CUT + " ").split(_CUT)
         return pieces if pieces[0] else pieces[1:]
 
-    def of_many(self, texts: list[str], between: bytes = b"") -> list[bytes]:
-        """The ids of each text, joined by ``between``; what is new in all of them is encoded at once."""
+    def of_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what is new in all of them is encoded at once."""
         cuts = [self._cut(text) for text in texts]
         found = [cut and list(map(self.ids.get, cut)) for cut in cuts]
         missing = {x for cut, ids in zip(cuts, found) if ids and None in ids for x, known in zip(cut, ids) if known is None}
@@ -61,8 +79,8 @@ class PieceCache:
             else:
                 if ids and None in ids:
                     ids = [self.ids[x] if known is None else known for x, known in zip(cut, ids)]
-                out.append(between.join(ids or ()))
+                out.append(self.between.join(ids or ()))
         return out
 
-    def of(self, text: str, between: bytes = b"") -> bytes:
-        return self.of_many([text], between)[0]
+    def of(self, text: str) -> bytes:
+        return self.of_many([text])[0]
