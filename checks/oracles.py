@@ -481,25 +481,21 @@ BODIES = {
                ROUND(m_avg_duration_minutes - c_avg_duration_minutes, 2) AS avg_duration_delta
         FROM pair""",
     "member_insights": """
-        SELECT 'distance' AS topic, CASE WHEN m_avg_distance_km > c_avg_distance_km
-            THEN 'Members ride longer distances on average (' || printf('%.3f', m_avg_distance_km)
-              || ' km vs ' || printf('%.3f', c_avg_distance_km) || ' km)'
-            ELSE 'Casual users ride longer distances on average (' || printf('%.3f', c_avg_distance_km)
-              || ' km vs ' || printf('%.3f', m_avg_distance_km) || ' km)' END AS insight FROM pair
-        UNION ALL
-        SELECT 'duration', CASE WHEN m_avg_duration_minutes > c_avg_duration_minutes
-            THEN 'Members have longer ride durations on average ('
-              || printf('%.1f', ROUND(CAST(m_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE) || ' min vs '
-              || printf('%.1f', ROUND(CAST(c_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE) || ' min)'
-            ELSE 'Casual users have longer ride durations on average ('
-              || printf('%.1f', ROUND(CAST(c_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE) || ' min vs '
-              || printf('%.1f', ROUND(CAST(m_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE) || ' min)' END FROM pair
-        UNION ALL
-        SELECT 'stations', CASE WHEN m_unique_start_stations > c_unique_start_stations
-            THEN 'Members use more diverse stations (' || m_unique_start_stations || ' unique stations vs '
-              || c_unique_start_stations || ' unique stations)'
-            ELSE 'Casual users use more diverse stations (' || c_unique_start_stations || ' unique stations vs '
-              || m_unique_start_stations || ' unique stations)' END FROM pair""",
+        WITH topics AS (
+          SELECT 'distance' AS topic, m_avg_distance_km AS m, c_avg_distance_km AS c, 'km' AS unit,
+                 printf('%.3f', m_avg_distance_km) AS mt, printf('%.3f', c_avg_distance_km) AS ct FROM pair
+          UNION ALL
+          SELECT 'duration', m_avg_duration_minutes, c_avg_duration_minutes, 'min',
+                 printf('%.1f', ROUND(CAST(m_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE),
+                 printf('%.1f', ROUND(CAST(c_avg_duration_minutes AS DECIMAL(18, 2)), 1)::DOUBLE) FROM pair
+          UNION ALL
+          SELECT 'stations', m_unique_start_stations, c_unique_start_stations, 'stations',
+                 CAST(m_unique_start_stations AS VARCHAR), CAST(c_unique_start_stations AS VARCHAR) FROM pair)
+        SELECT topic, CASE WHEN m > c THEN 'MEMBER' ELSE 'CASUAL' END AS leading,
+               CAST(m AS DOUBLE) AS member_value, CAST(c AS DOUBLE) AS casual_value,
+               topic || ': ' || CASE WHEN m > c THEN 'MEMBER leads with ' || mt || ' to ' || ct
+                                     ELSE 'CASUAL leads with ' || ct || ' to ' || mt END || ' ' || unit AS insight
+        FROM topics""",
     "kpi_pivot": """
         SELECT * EXCLUDE (member_casual),
                CASE WHEN member_casual = 'CASUAL' THEN total_rides ELSE 0 END AS "CASUAL",

@@ -53,8 +53,7 @@ def distance_band(km: Column) -> Column:
 
 
 def day_part(hour: Column) -> Column:
-    windows = [(word, first, last) for first, last, word in S.DAY_PARTS]
-    return F.coalesce(hour_band(hour, windows), F.lit("night"))
+    return F.coalesce(hour_band(hour, S.DAY_PARTS), F.lit("night"))
 
 
 def day_type(day_of_week: Column) -> Column:

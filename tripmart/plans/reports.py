@@ -136,57 +136,32 @@ def member_vs_casual(kpi: DataFrame) -> DataFrame:
     )
 
 
-def member_insights(kpi: DataFrame) -> DataFrame:
-    """Three sentences, each with the larger side first."""
+#: Topics of the insights: KPI, unit, decimals in the text.
+INSIGHTS = (
+    ("distance", "avg_distance_km", "km", 3),
+    ("duration", "avg_duration_minutes", "min", 1),
+    ("stations", "unique_start_stations", "stations", 0),
+)
 
-    def sentence(name: str, members: str, casuals: str, unit: str, digits: int) -> Column:
-        member, casual = F.col(f"member_{name}"), F.col(f"casual_{name}")
-        member_text, casual_text = (
-            F.round(v, digits).cast(f"decimal(18,{digits})").cast("string")
-            for v in (member, casual)
-        )
 
-        def told(claim: str, first: Column, second: Column) -> Column:
-            return F.concat(
-                F.lit(f"{claim} ("), first, F.lit(f"{unit} vs "), second, F.lit(f"{unit})")
-            )
+def member_insights(kpi: DataFrame) -> DataFrame:
+    """Per topic the side that leads, both values, and a line of text; casual riders lead a tie."""
 
-        return F.when(member > casual, told(members, member_text, casual_text)).otherwise(
-            told(casuals, casual_text, member_text)
+    def row(topic: str, name: str, unit: str, digits: int) -> Column:
+        member, casual = F.col(f"member_{name}"), F.col(f"casual_{name}")
+        leads = member > casual
+        texts = [F.round(v, digits).cast(f"decimal(18,{digits})").cast("string") for v in (member, casual)]
+        ahead, behind = F.when(leads, texts[0]).otherwise(texts[1]), F.when(leads, texts[1]).otherwise(texts[0])
+        leader = F.when(leads, S.MEMBER).otherwise(S.CASUAL)
+        return F.struct(
+            F.lit(topic).alias("topic"),
+            leader.alias("leading"),
+            member.cast("double").alias("member_value"),
+            casual.cast("double").alias("casual_value"),
+            F.concat(F.lit(f"{topic}: "), leader, F.lit(" leads with "), ahead, F.lit(" to "), behind, F.lit(f" {unit}")).alias("insight"),
         )
 
-    distance = sentence(
-        "avg_distance_km",
-        "Members ride longer distances on average",
-        "Casual users ride longer distances on average",
-        " km",
-        3,
-    )
-    duration = sentence(
-        "avg_duration_minutes",
-        "Members have longer ride durations on average",
-        "Casual users have longer ride durations on average",
-        " min",
-        1,
-    )
-    stations = sentence(
-        "unique_start_stations",
-        "Members use more diverse stations",
-        "Casual users use more diverse stations",
-        " unique stations",
-        0,
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(topic).alias("topic"), text.alias("insight"))
-            for topic, text in (
-                ("distance", distance),
-                ("duration", duration),
-                ("stations", stations),
-            )
-        )
-    )
-    return _side_by_side(kpi).select(F.inline(rows))
+    return _side_by_side(kpi).select(F.inline(F.array(*(row(*one) for one in INSIGHTS))))
 
 
 # --- distributions ----------------------------------------------------------

@@ -160,7 +160,7 @@ LAST_BAND = "very_long"
 BAND_ORDER = ("very_short", "short", "medium", "long", "very_long")
 
 # First and last hour, inclusive; the hours left over are night.
-DAY_PARTS = ((6, 11, "morning"), (12, 17, "afternoon"), (18, 21, "evening"))
+DAY_PARTS = (("morning", 6, 11), ("afternoon", 12, 17), ("evening", 18, 21))
 DAY_PART_ORDER = ("morning", "afternoon", "evening", "night")
 
 WEEKEND_DAYS = (1, 7)  # 1 = Sunday
