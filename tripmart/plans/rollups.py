@@ -79,8 +79,13 @@ def new_daily_metrics(facts: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def new_user_behavior(facts: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rollup rows of (date, rider type) pairs the target does not hold yet."""
-    return user_behavior(_without_known_pairs(facts, existing))
+    """Rollup rows of (date, rider type) pairs the target does not hold yet.
+
+    The known pairs go from the rollup's rows, not from the rides, which are many more.
+    Of a large fact table, pass the dates of ``dates_without_behavior`` only.
+    """
+    keys = ("date_key", "member_type")
+    return not_in_pairs(user_behavior(facts), existing, keys, keys)
 
 
 def dates_without_metrics(facts: DataFrame, existing: DataFrame) -> DataFrame:
