@@ -198,19 +198,27 @@ def _block_rows(df: DataFrame, width: int, threshold: Threshold, only=None) -> D
     return _over_sets(df, width, make, "key long, class long")
 
 
-def _sets(df: DataFrame, width: int, only) -> DataFrame:
-    """class and shingles of the sets whose class is in a broadcast bit map, one for each class."""
+def _texts(df: DataFrame, width: int, only) -> DataFrame:
+    """class and text of the sets whose class is in a broadcast bit map, one for each class.
 
-    def make(_, value, bounds, classes, memory):
-        which = _new(classes, memory)
-        which = which[_in_map(only.value, classes[which])] if len(which) else which
-        if not len(which):
-            return None
-        value, bounds = _chosen(value, bounds, which)
-        return {"class": classes[which], "shingles": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(value.view(np.int64)))}
+    Texts take less room on their way than sets, whose hashes cannot be compressed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = space_split()
+        for batch in batches:
+            memory: set[int] = set()
+            for block in blocks(batch.column(0)):
+                value, bounds = shingle_sets(words(block, table), width)
+                classes = set_hashes(value, bounds).view(np.int64)
+                which = _new(classes, memory)
+                which = which[_in_map(only.value, classes[which])] if len(which) else which
+                if len(which):
+                    texts = batch.column(0).take(pa.array(which + block.first))
+                    yield pa.RecordBatch.from_arrays([pa.array(classes[which]), texts], ["class", "text"])
 
-    found = _over_sets(df, width, make, "class long, shingles array<long>")
-    return found.groupBy("class").agg(F.first("shingles").alias("shingles"))
+    found = df.select("text").mapInArrow(run, "class long, text string")
+    return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
 def _may_be_alike(a: str, b: str, threshold: Threshold) -> Column:
@@ -226,21 +234,31 @@ def _named(classes: DataFrame, name: str) -> DataFrame:
     return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(f"{name}_n"), *sketch)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) of classes that are alike."""
+def _verified(df: DataFrame, pairs: DataFrame, width: int, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) of classes of ``df`` that are alike. ``pairs`` is a written table."""
+    spark = df.sparkSession
+    named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    only = spark.sparkContext.broadcast(_bit_map(named, MAP_BITS))
+    texts = written(_texts(df, width, only))
     for name in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("class").alias(name), F.col("shingles").alias(f"set_{name}")), name)
+        pairs = pairs.join(texts.select(F.col("class").alias(name), F.col("text").alias(f"text_{name}")), name)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = space_split()
+
+        def sets(column: pa.Array) -> Iterator[np.ndarray]:
+            for block in blocks(column):
+                value, bounds = shingle_sets(words(block, table), width)
+                yield from (value[x:y] for x, y in zip(bounds, bounds[1:]))
+
         for batch in batches:
             alike = []
-            for k in range(batch.num_rows):
-                a, b = (batch.column(c)[k].values.to_numpy() for c in (2, 3))
+            for a, b in zip(sets(batch.column(2)), sets(batch.column(3))):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 alike.append(threshold.whole * both >= threshold.part * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
+    return written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long"))
 
 
 def _star_pairs(shared: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
@@ -299,12 +317,10 @@ def join(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80, 100
     several = rows.groupBy(F.col("key").alias("its_key")).agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(rows.join(several, F.col("key") == F.col("its_key")).select("key", "class"))
 
-    needed = spark.sparkContext.broadcast(_bit_map(shared.select(F.col("class").alias("key")).distinct(), MAP_BITS))
-    sets = written(_sets(df, width, needed))
-    links = written(_verified(_star_pairs(shared, classes, threshold), sets, threshold))
-    label = components.labels(links)
-    more = written(_verified(_cross_pairs(shared, classes, label, threshold), sets, threshold))
-    if not more.isEmpty():
+    label = components.labels(_verified(df, written(_star_pairs(shared, classes, threshold)), width, threshold))
+    left = written(_cross_pairs(shared, classes, label, threshold))
+    if not left.isEmpty():
+        more = _verified(df, left, width, threshold)
         label = components.labels(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
     labelled = classes.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
