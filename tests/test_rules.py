@@ -319,3 +319,39 @@ def test_pivot_finds_its_own_names(spark):
         {"band": "long", "GUEST": 0, "MEMBER": 3},
         {"band": "short", "GUEST": 1, "MEMBER": 2},
     ]
+
+
+def test_a_coordinate_that_is_no_number_gives_no_distance(spark):
+    nan = float("nan")
+    raw = raw_frame(
+        spark,
+        [
+            trip_row("ok"),
+            trip_row("one", end_lat=nan),
+            trip_row("same", start_lat=nan, end_lat=nan),
+            trip_row("all", start_lat=nan, start_lng=nan, end_lat=nan, end_lng=nan),
+        ],
+    )
+    assert {r.ride_id for r in cleaning.valid_trips(raw).collect()} == {"ok"}
+    km = cleaning.with_measures(raw).select("ride_id", "trip_distance_km")
+    assert {r.ride_id for r in km.filter("trip_distance_km IS NULL").collect()} == {"one", "same", "all"}
+
+
+def test_a_known_station_name_comes_before_a_missing_one(spark):
+    rows = [trip_row("R1"), trip_row("R2", start_station_name=None), trip_row("R3", end_station_id="C", end_station_name=None)]
+    staged = cleaning.stage_trips(raw_frame(spark, rows), RUN_TS)
+    names = {r.station_id: r.station_name for r in star.dim_stations(staged).collect()}
+    assert names == {"A": "A street", "B": "B street", "C": None}
+    facts = star.fact_rides(staged, RUN_TS)
+    routes = reports.top_routes(facts, star.dim_stations(staged)).collect()
+    assert [(r.route, r.ride_count) for r in routes] == [("A street → B street", 2), ("A street → C", 1)]
+    none = star.dim_stations(staged).limit(0)
+    assert [(r.station_id, r.station_name, r.total_rides) for r in reports.station_popularity(facts, none).collect()] == [("A", None, 3)]
+
+
+def test_pivots_have_all_riders(spark):
+    rows = [trip_row("R1"), trip_row("R2", member_casual="casual"), trip_row("R3", member_casual="robot")]
+    facts = star.fact_rides(cleaning.stage_trips(raw_frame(spark, rows), RUN_TS), RUN_TS)
+    pivot = reports.distance_category_pivot(facts)
+    assert set(pivot.columns) == {"distance_category", "MEMBER", "CASUAL", "ROBOT"}
+    assert sum(reports.kpi_pivot(reports.member_distance_kpi(facts)).agg(F.sum("ROBOT")).first()) == 1
