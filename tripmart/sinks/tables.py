@@ -20,7 +20,7 @@ from tripmart.operators import merge
 from tripmart.operators.cleaning import first_per_key
 from tripmart.schemas import MergeSpec
 from tripmart.sinks.zone_writer import WriteMismatch, verify_rows, write_partitions
-from tripmart.sources.zones import read_table, scratch_path, version_path, versions
+from tripmart.sources.zones import read_table, remove_folders, scratch_path, version_path, versions
 
 
 def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -43,16 +43,10 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> int:
     rows = written.get["rows"]
     verify_rows(spark, version_path(path, number), rows)
     last = max((k for k, whole in known.items() if whole), default=0)
-    _remove(spark, [version_path(path, k) for k in known if k != last])
+    remove_folders(spark, [version_path(path, k) for k in known if k != last])
     return rows
 
 
-def _remove(spark: SparkSession, folders: Iterable[str]) -> None:
-    for folder in folders:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def append_rows(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType) -> int:
     """The next version of an unpartitioned table has the frame's rows too; returns how many they are."""
     before = read_table(spark, path, schema, first_load=True)
@@ -119,7 +113,7 @@ def _days(df: DataFrame, column: str) -> set[date]:
 
 def clear_partitions(spark: SparkSession, path: str, partition: str, days: Iterable[date]) -> None:
     """Drop whole partitions: their folders, without a job for each."""
-    _remove(spark, [f"{path}/{partition}={day}" for day in sorted(days)])
+    remove_folders(spark, [f"{path}/{partition}={day}" for day in sorted(days)])
 
 
 def delete_month(

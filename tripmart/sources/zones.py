@@ -8,8 +8,8 @@ written to its end holds. A reader never sees a version that is being written.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,21 +37,31 @@ def month_slice(df: DataFrame, month: str, date_col: str = "dt") -> DataFrame:
     return df.filter(periods.in_month(F.col(date_col), month))
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system that has it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def versions(spark: SparkSession, path: str) -> dict[int, bool]:
     """Versions of a table, and whether each was written to its end."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, files = _folder(spark, path)
     if not files.exists(root):
         return {}
     found = {}
     for status in files.listStatus(root):
         if name := re.fullmatch(r"v=(\d+)", status.getPath().getName()):
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            done, _ = _folder(spark, f"{status.getPath()}/_SUCCESS")
             found[int(name[1])] = files.exists(done)
     return found
 
 
+def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        where, files = _folder(spark, path)
+        files.delete(where, True)
+
+
 def version_path(path: str, number: int) -> str:
     return f"{path}/v={number}"
 
@@ -61,13 +71,13 @@ def read_table(
 ) -> DataFrame:
     """Mart table. One that is not there is an error, unless this may be its first load."""
     done = [number for number, whole in versions(spark, path).items() if whole]
-    try:
-        where = version_path(path, max(done)) if done else path
-        return spark.read.schema(schema).parquet(where).select(*schema.fieldNames())
-    except AnalysisException as error:
-        if not first_load or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    if done:
+        path = version_path(path, max(done))
+    elif first_load:
+        where, files = _folder(spark, path)
+        if not files.exists(where):
+            return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
