@@ -10,7 +10,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
