@@ -256,6 +256,26 @@ def test_spots_tell_edits_from_other_texts(spark):
     assert edited[len(edited) // 10] > other[len(other) * 9 // 10]
 
 
+def test_spots_cover_texts_without_anchors(spark):
+    rng, spots = random.Random(8), spotsigs.Spots()
+    for size in (3, 20, 300, 1600):
+        base = ["Total", "amount", *(f"w{rng.randint(0, 10**6)}" for _ in range(size - 2))]
+        own = spots.sets([" ".join(base)])[0]
+        for k in range(size):  # each word counts, wherever it is
+            changed = spots.sets([" ".join([*base[:k], "other", *base[k + 1 :]])])[0]
+            assert spotsigs.likeness(own, changed) < 1
+    # a long list after ordinary lines
+    lines = "the cat of the house and the dog of the garden sat on the wall " * 9
+    one, two = spots.sets([lines + " ".join(base), lines + " ".join(base[:-200]) + " new" * 200])
+    assert 0.5 < spotsigs.likeness(one, two) < 0.95
+    cyrillic = [" ".join(f"слово{rng.randint(0, 10**6)}" for _ in range(200)) for _ in range(2)]
+    rows = [(k, "Одна строка " + t, "ru", "a", 1) for k, t in enumerate(cyrillic)] + [(2, "Одна строка " + cyrillic[0], "ru", "a", 1)]
+    out = {r["doc_id"]: r for r in spotsigs.edited(frame(spark, rows)).collect()}
+    assert out[0]["fingerprint"] == out[2]["fingerprint"] != out[1]["fingerprint"]
+    assert 0.4 < out[1]["near_edited"] < 0.7 and out[1]["near_next"] < 0.1
+    assert {r["doc_id"]: r["component_id"] for r in spotsigs.near(frame(spark, rows)).collect()} == {0: 0, 1: 1, 2: 0}
+
+
 def test_spots_near(spark):
     rows = near_copies(4, 10, 5, 80)
     texts = [(i, " ".join("the " + w if k % 3 == 0 else w for k, w in enumerate(t.split()))) for i, t in rows]

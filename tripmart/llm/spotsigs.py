@@ -4,6 +4,11 @@ A spot is an anchor, one of a few very common words, and the chain of content wo
 words that aren't common. Spots sit all over a text, but rarely in its boilerplate, so the set of their hashes is a
 fingerprint whose Jaccard coefficient tells how alike two texts are. The start of a text is an anchor too, so every
 text with a word has a spot.
+
+Tables, lists and other languages have few anchors or none. So in a stretch without one that is longer than GAP words,
+or than a SHARE-th of its text, each word is an anchor for the words right after it, common or not: no part of a text
+that is long for it is left out of the fingerprint. Words end at ASCII marks and spaces; a script that writes neither
+has words as long as its sentences.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm import components
-from tripmart.llm.textbytes import U64, Block, alphanumeric, blocks, mix, words
+from tripmart.llm.textbytes import U64, Block, Words, alphanumeric, blocks, mix, words
 from tripmart.llm.tables import written
 
 # Anchors, and words that don't count as content, for English, German, French and Spanish.
@@ -30,6 +35,8 @@ COMMON = (
     "al como con del el en es la las lo los no para por que se su un una y"
 ).split()
 CHAIN = 2
+#: Stretches without an anchor of more than GAP words, or than the text's words divided by SHARE, are covered word by word.
+GAP, SHARE = 32, 8
 #: Texts are worked on in groups of about so many bytes.
 GROUP_BYTES = 1 << 20
 #: Ranges of doc_id are told apart by one expression of twice so many terms.
@@ -53,6 +60,15 @@ class Spots:
         at = np.minimum(np.searchsorted(known, values), len(known) - 1)
         return known[at] == values
 
+    def _bare(self, found: Words, anchor: np.ndarray) -> np.ndarray:
+        """Words in long stretches without an anchor that have a whole chain of words after them."""
+        n, first, stop = len(anchor), found.bounds[:-1][found.row], found.bounds[1:][found.row]
+        place = np.arange(n)
+        last = np.maximum(np.maximum.accumulate(np.where(anchor, place, -1)), first - 1)
+        following = np.minimum(np.minimum.accumulate(np.where(anchor, place, n)[::-1])[::-1], stop)
+        most = np.minimum(GAP, (stop - first) // SHARE)
+        return np.flatnonzero(~anchor & (following - last - 1 > most) & (place + self.chain < stop))
+
     def of(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Distinct 32-bit spot hashes of each text of a block, sorted by text, and the text of each."""
         found = words(block, self.table)
@@ -66,15 +82,20 @@ class Spots:
         start[found.bounds[:-1][np.diff(found.bounds) > 0]] = True
         anchor = self._among(found.hash, self.anchors)
         # an anchor needs a whole chain; a text's start takes its first words whatever they are
-        at = np.flatnonzero(anchor & (before[1:] + self.chain <= end))
+        anchor &= before[1:] + self.chain <= end
+        at = np.flatnonzero(anchor)
         heads = np.flatnonzero(start)
-        row = np.concatenate([found.row[at], found.row[heads]])
+        bare = self._bare(found, anchor)
+        row = np.concatenate([found.row[at], found.row[heads], found.row[bare]])
         spot, head = found.hash[at], np.full(len(heads), 1, U64)
         for k in range(self.chain):
             spot = mix(spot + chain[before[1:][at] + k] + U64(k))
             there = heads + k < found.bounds[1:][found.row[heads]]
             head = mix(head + np.where(there, found.hash[np.minimum(heads + k, len(found.hash) - 1)], U64(0)) + U64(k))
-        value = (np.concatenate([spot, head]) >> U64(32)).astype(np.uint32)
+        run = np.full(len(bare), 2, U64)
+        for k in range(self.chain + 1):
+            run = mix(run + found.hash[bare + k] + U64(k))
+        value = (np.concatenate([spot, head, run]) >> U64(32)).astype(np.uint32)
         order = np.lexsort((value, row))
         value, row = value[order], row[order]
         fresh = np.ones(len(value), bool)
