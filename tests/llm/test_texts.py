@@ -152,6 +152,35 @@ def test_languages_of_odd_pages(spark, model):
     assert kept.filter("doc_id IN (1, 6, 7)").count() == 4
 
 
+def test_a_corpus_of_one_language(spark):
+    texts = ["The cat sat on the mat.", "A.", "a", ".B", "é", "no", "12 !!", "", None, ".", "  "]
+    df = frame(spark, [(k, t, "en", "a", 1) for k, t in enumerate(texts)])
+    one = languages.fit_text(df)
+    assert one.languages == ["en"]
+    assert sorted(r["doc_id"] for r in languages.keep_known(df, one).select("doc_id").collect()) == [0, 1, 2, 3, 4, 5]
+    pages = df.selectExpr("doc_id AS page_id", "'https://a.org/' AS url", "concat('<p>', text, '</p>') AS html")
+    out = {r["page_id"]: (r["lang"], r["text_lang"]) for r in languages.of_pages(pages, one).collect()}
+    assert out == {k: ("en", "en") if k < 6 else (None, None) for k in range(len(texts))}
+
+
+def test_short_texts_have_evidence(spark, model):
+    import numpy as np
+
+    texts = ["A.", "x", "", "1", ".a", "ab", "z9", None]
+    rows = [(k, t, "en", "nowhere", 1) for k, t in enumerate(texts)]
+    rows += [(100 + k, "The cat sat on the mat and the dog sat on the log of the house.", "en", "nowhere", 1) for k in range(200)]
+    kept = {r["doc_id"] for r in languages.keep_known(frame(spark, rows), model).select("doc_id").collect()}
+    assert kept & set(range(8)) == {0, 1, 4, 5, 6}
+    # each text by itself, whatever is before and after it in the block
+    import pyarrow as pa
+
+    from tripmart.llm.textbytes import blocks
+
+    together, count = model.log_likelihoods(next(blocks(pa.array(texts))))
+    alone = [model.log_likelihoods(next(blocks(pa.array([t], pa.string()))))[0][0] for t in texts]
+    assert np.allclose(together, alone) and count.tolist() == [1, 1, 0, 0, 1, 2, 1, 0]
+
+
 # Alike texts ----------------------------------------------------------------------------------------------------
 
 

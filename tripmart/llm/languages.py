@@ -33,16 +33,17 @@ LEAST = 0.6
 
 
 def trigrams(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hash bucket of each byte trigram with a letter; A-Z count as a-z, digits and marks as spaces."""
+    """Text number and hash bucket of the byte trigram around each letter; A-Z count as a-z, digits and marks as spaces,
+    and a text has a space at both ends."""
     data = fold(block.data)
     letters = ((data >= 97) & (data <= 122)) | (data >= 128)
-    data = np.where(letters, data, 32)
     row = np.repeat(np.arange(len(block)), np.diff(block.bounds))
-    if len(data) < 3:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    some = (row[2:] == row[:-2]) & letters[1:-1]
-    code = (data[:-2].astype(np.int64) << 16 | data[1:-1].astype(np.int64) << 8 | data[2:])[some]
-    return row[2:][some], (mix(code.astype(U64)) % U64(BUCKETS)).astype(np.int64)
+    place = np.arange(len(data)) + 2 * row + 1  # in the texts with their spaces
+    padded = np.full(len(data) + 2 * len(block), 32, np.uint8)
+    padded[place[letters]] = data[letters]
+    at = place[letters]
+    code = padded[at - 1].astype(np.int64) << 16 | padded[at].astype(np.int64) << 8 | padded[at + 1]
+    return row[letters], (mix(code.astype(U64)) % U64(BUCKETS)).astype(np.int64)
 
 
 @dataclass
@@ -58,13 +59,13 @@ class TextModel:
         table = np.array([(counts[x] + 0.5) / (counts[x].sum() + 0.5 * BUCKETS) for x in names]).reshape(len(names), BUCKETS)
         return cls(names, np.log(table))
 
-    def log_likelihoods(self, block: Block) -> np.ndarray:
-        """A row for each text: log likelihood of each language, all 0 where there is no trigram."""
+    def log_likelihoods(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each text: log likelihood of each language, all 0 where there is no trigram; and how many there are."""
         row, bucket = trigrams(block)
         count = np.bincount(row, minlength=len(block))
         weight = np.minimum(1, MOST_TRIGRAMS / np.maximum(count, 1))
         sums = [np.bincount(row, x[bucket], len(block)) * weight for x in self.table]
-        return np.stack(sums, axis=1) if sums else np.zeros((len(block), 0))
+        return np.stack(sums, axis=1) if sums else np.zeros((len(block), 0)), count
 
 
 def fit_text(documents: DataFrame, sample: int = SAMPLE) -> TextModel:
@@ -95,14 +96,16 @@ def fit_text(documents: DataFrame, sample: int = SAMPLE) -> TextModel:
 
 
 def text_evidence(model: TextModel):
-    """A column function: log likelihoods of a text in the order of the model's languages; a null text is empty."""
+    """A column function: log likelihoods of a text in the order of the model's languages, null if it has no trigram, as
+    a null text or one without a letter."""
 
     def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             parts = [model.log_likelihoods(block) for block in blocks(column)]
-            rows = np.concatenate(parts) if parts else np.zeros((0, len(model.languages)))
+            rows = np.concatenate([x for x, _ in parts]) if parts else np.zeros((0, len(model.languages)))
+            none = np.concatenate([n == 0 for _, n in parts]) if parts else np.zeros(0, bool)
             offsets = np.arange(len(rows) + 1, dtype=np.int32) * len(model.languages)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1)))
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1)), mask=pa.array(none))
 
     evidence.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(evidence, "array<double>")
@@ -151,12 +154,14 @@ def _shares(counts: Column, smooth: list[Column], strength: float) -> Column:
 def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
     """Add ``posterior`` (an array by language) to rows with text_evidence, declared, suffix and host.
 
-    Null evidence says nothing. Levels are counted in Spark with sums on the map side, and joined back by key; Spark
+    Null evidence says nothing. A first guess is made where the evidence prefers a language, or there is but one to
+    guess. Levels are counted in Spark with sums on the map side, and joined back by key; Spark
     broadcasts a level if it is small, and splits a hot key of the join if not.
     """
     n = len(languages)
     top = F.array_max("text_evidence")
-    first = rows.withColumn("guess", F.when(F.size(F.array_distinct("text_evidence")) > 1, F.array_position("text_evidence", top)))
+    prefers = F.size(F.array_distinct("text_evidence")) > 1 if n > 1 else F.col("text_evidence").isNotNull()
+    first = rows.withColumn("guess", F.when(prefers, F.array_position("text_evidence", top)))
     first = first.withColumn("parent", parent_of(F.col("host")))
     guessed = first.filter(F.col("guess").isNotNull())
     # one pass over the rows: the counts by all four keys, from which those of each level are summed
@@ -184,7 +189,7 @@ def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
     for key in ("declared", "suffix"):
         joined = joined.withColumn(f"{key}_share", _shares(F.coalesce(f"{key}_n", none), literal, STRENGTH))
     score = [
-        F.col("text_evidence")[k] + F.log(F.col("prior")[k])
+        F.coalesce(F.col("text_evidence")[k], F.lit(0.0)) + F.log(F.col("prior")[k])
         + F.log(F.col("declared_share")[k] / base[k]) + F.log(F.col("suffix_share")[k] / base[k])
         for k in range(n)
     ]
@@ -195,15 +200,16 @@ def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def decided(rows: DataFrame, languages: list[str], least: float) -> DataFrame:
-    """lang (null below ``least``, or if the text tells nothing), confidence and text_lang from the posterior."""
+    """lang (null below ``least``, or if there is no text_evidence), confidence and text_lang from the posterior."""
     names = F.array(*[F.lit(x) for x in languages])
     best = F.array_max("posterior")
     at = F.array_position("posterior", best).cast("int")
-    sure = (best >= least) & F.col("guess").isNotNull()
+    sure = (best >= least) & F.col("text_evidence").isNotNull()
     return (
         rows.withColumn("confidence", best)
         .withColumn("lang", F.when(sure, F.element_at(names, at)))
-        .withColumn("text_lang", F.element_at(names, F.col("guess").cast("int")))
+        # element_at takes a null place for one that cannot be null
+        .withColumn("text_lang", F.when(F.col("guess").isNotNull(), F.element_at(names, F.col("guess").cast("int"))))
     )
 
 
