@@ -363,6 +363,14 @@ def test_surrogates_keep_form_and_identity(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in rows if r["n_entities"])
 
 
+def test_keys_of_letters_alone(spark):
+    key = "ASIAQWERTYUIOPASDFGH"
+    rows = privacy.replace(frame(spark, [(1, f"The key {key} is old", "en", "a", 1), (2, f"{key} since 2020", "en", "a", 1)]), "k").collect()
+    by = {r["doc_id"]: r["text"].split() for r in rows}
+    assert all(r["n_entities"] == 1 and r["entity_kinds"] == "cloud-key" and key not in r["text"] for r in rows)
+    assert by[1][2] == by[2][0] and by[1][2].startswith("ASIA")
+
+
 def test_surrogates_do_not_collide(spark):
     values = [(f"family-latin", f"Name{k}") for k in range(3000)] + [("number", f"{k:03d}") for k in range(300)]
     entities = spark.createDataFrame(values, "type string, value string")

@@ -41,7 +41,7 @@ _PHONE = (
 _NAME = rf"(?<![\p{{L}}])(?:{_TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 ENTITY = "|".join((_EMAIL, _SECRET, _CLOUD_KEY, _ADDRESS, _ACCOUNT, _NUMBER, _CARD, _PHONE, _NAME))
 #: Every entity has this; most texts don't.
-HINT = rf"[0-9@]|(?:{_TITLES})\.? \p{{Lu}}|(?i:{SECRETS})\s?[=:]"
+HINT = rf"[0-9@]|(?:AKIA|ASIA)[A-Z0-9]{{16}}|(?:{_TITLES})\.? \p{{Lu}}|(?i:{SECRETS})\s?[=:]"
 
 
 def has_entity(text: Column) -> Column:
