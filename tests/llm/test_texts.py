@@ -380,6 +380,45 @@ def test_surrogates_do_not_collide(spark):
     assert not {(r["type"], r["surrogate"]) for r in out} & set(values)
 
 
+@pytest.fixture
+def few_attempts(monkeypatch):
+    make = privacy._surrogate
+
+    def bounded(key, attempt):
+        assert attempt < 15, "the surrogates don't come to an end"
+        return make(key, attempt)
+
+    monkeypatch.setattr(privacy, "_surrogate", bounded)
+
+
+def test_surrogates_where_no_value_is_free(spark, few_attempts):
+    values = [("phone", f"{k:05d}") for k in range(100_000)] + [("number", f"{k:02d}") for k in range(100)]
+    values += [("secret", x) for x in ("--------", "////////", "________")] + [("email", f"_@-.{x}") for x in ("com", "org", "net")]
+    values += [("account", f"{a}{b}") for a in "AB" for b in "CD"] + [("cloud-key", "AKIA"), ("address", "1.2.3.4")]
+    out = privacy.surrogates(spark.createDataFrame(values, "type string, value string"), "key").collect()
+    assert Counter((r["type"], r["value"]) for r in out) == Counter(values)
+    assert len({(r["type"], r["surrogate"]) for r in out}) == len(values)
+    assert not {(r["type"], r["surrogate"]) for r in out} & set(values)
+
+
+def test_short_phones_and_secrets_of_marks(spark, few_attempts):
+    numbers = [f"+1{k:04d}" for k in range(10_000)] + [f"+2{k:04d}" for k in range(10_000)]
+    texts = [" ; ".join(numbers[k : k + 50]) for k in range(0, len(numbers), 50)]
+    rows = [(k, t, "en", "a", 1) for k, t in enumerate(texts)] + [(-1, "password: -------- then", "en", "a", 1)]
+    by = {r["doc_id"]: r["text"] for r in privacy.replace(frame(spark, rows), "k").collect()}
+    found = [x for k in range(len(texts)) for x in by[k].split(" ; ")]
+    assert len(set(found)) == len(numbers) and not set(found) & set(numbers) and all(len(x) >= 6 for x in found)
+    assert by[-1].startswith("password: --------") and by[-1] != "password: -------- then" and by[-1].endswith(" then")
+
+
+def test_grown_surrogates_are_written_whole(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("phone", "+12 34 5", ["678901"]), ("number", "123-45-6789", ["98765432101"])], "kind string, entity string, parts array<string>")
+    out = [r[0] for r in df.select(privacy._rendered(F.col("kind"), F.col("entity"), F.col("parts"))).collect()]
+    assert out == ["+67 89 01", "987-65-432101"]
+
+
 def test_surrogates_of_odd_rows(spark):
     out = privacy.replace(frame(spark), "key")
     assert out.columns == [*frame(spark).columns, "n_entities", "entity_kinds"] and out.count() == len(odd_rows())

@@ -43,6 +43,9 @@ ENTITY = "|".join((_EMAIL, _SECRET, _CLOUD_KEY, _ADDRESS, _ACCOUNT, _NUMBER, _CA
 #: Every entity has this; most texts don't.
 HINT = rf"[0-9@]|(?:AKIA|ASIA)[A-Z0-9]{{16}}|(?:{_TITLES})\.? \p{{Lu}}|(?i:{SECRETS})\s?[=:]"
 
+#: Attempts at a surrogate of its value's form; from then on each is longer by one more character.
+IN_FORM = 4
+
 
 def has_entity(text: Column) -> Column:
     return F.coalesce(text.rlike(HINT) & text.rlike(ENTITY), F.lit(False))
@@ -89,7 +92,11 @@ def _parts(kind: Column, entity: Column) -> Column:
 
 
 def _surrogate(key: str, attempt: int) -> Column:
-    """A replacement of ``value`` of ``type``; another for each attempt."""
+    """A replacement of ``value`` of ``type``; another for each attempt.
+
+    A form may have fewer values than the corpus has entities of it (five digits), or only the real one (a password of
+    dashes). So surrogates grow after some attempts, and there are always more.
+    """
     value, kind = F.col("value"), F.col("type")
     seed = F.concat_ws("\x1f", F.lit(key), kind, value, F.lit(str(attempt)))
     stream = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("\x1f")), 256))
@@ -106,12 +113,18 @@ def _surrogate(key: str, attempt: int) -> Column:
 
         return F.array_join(F.transform(F.split(text, ""), one), "")
 
-    octets = [(F.conv(F.substr(stream, F.lit(2 * k + 1), F.lit(2)), 16, 10).cast("int") % 254 + 1).cast("string") for k in range(4)]
-    length = F.length(value)
+    extra = min(max(0, attempt - IN_FORM + 1), 40)
+    more_digits, more_letters = (F.substr(x, F.lit(129 - extra), F.lit(extra)) if extra else F.lit("") for x in (digits, small))
+    more_hex = F.substr(stream, F.lit(129 - extra), F.lit(extra)) if extra else F.lit("")
+    octets = [(F.conv(F.substr(stream, F.lit(2 * k + 1), F.lit(2)), 16, 10).cast("int") % 254 + 1).cast("string") for k in range(4 + extra)]
+    length = F.length(value) + extra
     body = F.concat(F.substr(value, F.lit(1), F.lit(1)), F.substr(digits, F.lit(1), length - 2))
     checks = F.filter(F.array(*[F.lit(str(k)) for k in range(10)]), lambda d: F.call_function("luhn_check", F.concat(body, d)))
-    country = F.greatest(length - 10, F.lit(0))
-    phone = F.concat(F.substr(value, F.lit(1), country), F.lit("2"), F.substr(digits, F.lit(1), length - country - 1))
+    country = F.greatest(F.length(value) - 10, F.lit(0))
+    # a short number may begin with any digit, as few others are free
+    phone = F.when(length < 10, F.substr(digits, F.lit(1), length)).otherwise(
+        F.concat(F.substr(value, F.lit(1), country), F.lit("2"), F.substr(digits, F.lit(1), length - country - 1))
+    )
 
     def name(script: str, ending: str) -> Column:
         begin, female, male = (F.array(*[F.lit(x) for x in group.split()]) for group in SYLLABLES[script])
@@ -122,24 +135,27 @@ def _surrogate(key: str, attempt: int) -> Column:
         return F.initcap(F.concat(*parts, F.element_at(last, nibbles[-1] % F.size(last) + 1)))
 
     out = (
-        F.when(kind == "email", F.concat(in_form(F.substring_index(value, "@", 1)), F.lit("@"), in_form(F.substring_index(F.substring_index(value, "@", -1), ".", 1)), F.lit(".example")))
+        F.when(kind == "email", F.concat(in_form(F.substring_index(value, "@", 1)), more_letters, F.lit("@"), in_form(F.substring_index(F.substring_index(value, "@", -1), ".", 1)), F.lit(".example")))
         .when(kind == "address", F.concat_ws(".", *octets))
         .when(kind == "card", F.concat(body, F.element_at(checks, 1)))
         .when(kind == "phone", phone)
-        .when(kind == "cloud-key", F.concat(F.substr(value, F.lit(1), F.lit(4)), in_form(F.substr(value, F.lit(5)))))
-        .when(kind == "account", F.concat(F.substr(value, F.lit(1), F.lit(2)), in_form(F.substr(value, F.lit(3)))))
-        .when(kind == "secret", in_form(value, value.rlike("^[0-9a-f]+$")))
+        .when(kind == "cloud-key", F.concat(F.substr(value, F.lit(1), F.lit(4)), in_form(F.substr(value, F.lit(5))), F.upper(more_letters)))
+        .when(kind == "account", F.concat(F.substr(value, F.lit(1), F.lit(2)), in_form(F.substr(value, F.lit(3))), more_digits))
+        .when(kind == "secret", F.concat(in_form(value, value.rlike("^[0-9a-f]+$")), more_hex))
     )
     for script in SYLLABLES:
         out = out.when(kind == f"family-{script}", name(script, "neutral"))
         for gender in ("male", "female", "neutral"):
             out = out.when(kind == f"given-{gender}-{script}", name(script, gender))
-    return out.otherwise(in_form(value))
+    return out.otherwise(F.concat(in_form(value), more_digits))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """Replacements of distinct entities (type, value): type, value, surrogate. Different values of a type have
-    different surrogates, none of them a real value of the type. ``entities`` is a written table."""
+    different surrogates, none of them a real value of the type. ``entities`` is a written table.
+
+    The few that find no free value of their form get a longer one.
+    """
     real = entities.select(F.col("type").alias("real_type"), F.col("value").alias("real_value"))
     left, done, attempt = entities, None, 0
     while True:
@@ -174,7 +190,9 @@ def _rendered(kind: Column, entity: Column, parts: Column) -> Column:
     """An entity written with the surrogates of its parts."""
     first = parts[0]
     gaps = F.split(entity, "[0-9]", -1)
-    filled = F.array_join(F.zip_with(gaps, F.split(first, ""), lambda gap, digit: F.concat(gap, F.coalesce(digit, F.lit("")))), "")
+    # a surrogate may have more digits than the entity
+    digits = F.split(first, "")
+    filled = F.array_join(F.zip_with(gaps, digits, lambda gap, digit: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(digit, F.lit("")))), "")
     return (
         F.when(kind.isin("card", "phone", "number"), filled)
         .when(kind == "secret", F.concat(F.regexp_extract(entity, r"^(.*?)[A-Za-z0-9/+_-]{8,}$", 1), first))
