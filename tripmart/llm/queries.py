@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bitplanes, bpe, jaccard, languages, licenses, neighbours, packing, privacy, quality, spotsigs
+from tripmart.llm import bitplanes, bpe, divergence, jaccard, languages, licenses, neighbours, packing, privacy, quality, spotsigs, warc
 from tripmart.llm.tables import read
 
 #: Whoever holds the key can tell which surrogate belongs to an entity; a deployment gives its own.
@@ -60,6 +60,14 @@ def op10_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_of(read(spark, sf_dir, "embeddings"), every=50, k=5, factor=1.0)
 
 
+def op11_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -71,6 +79,13 @@ QUERIES = {
     "op8_spot_signatures": op8_spot_signatures,
     "op9_surrogates": op9_surrogates,
     "op10_vantage_trees": op10_vantage_trees,
+    "op11_warc_ranges": op11_warc_ranges,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-ORACLES = {"op5_license_scan": licenses.SQL, "op7_parity_join": jaccard.sql(*OP7)}
+ORACLES = {
+    "op5_license_scan": licenses.SQL,
+    "op7_parity_join": jaccard.sql(*OP7),
+    "op11_warc_ranges": warc.SQL,
+    "op13_source_divergence": divergence.SQL,
+}
