@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bitplanes, bpe, divergence, jaccard, languages, licenses, neighbours, packing, privacy, quality, spotsigs, warc
+from tripmart.llm import bitplanes, bpe, divergence, jaccard, languages, licenses, neighbours, packing, prefix_trie, privacy, quality, spotsigs, warc
 from tripmart.llm.tables import read
 
 #: Whoever holds the key can tell which surrogate belongs to an entity; a deployment gives its own.
@@ -64,6 +64,10 @@ def op11_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_surrogates": op9_surrogates,
     "op10_vantage_trees": op10_vantage_trees,
     "op11_warc_ranges": op11_warc_ranges,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -87,5 +92,6 @@ ORACLES = {
     "op5_license_scan": licenses.SQL,
     "op7_parity_join": jaccard.sql(*OP7),
     "op11_warc_ranges": warc.SQL,
+    "op12_conversation_trie": prefix_trie.SQL,
     "op13_source_divergence": divergence.SQL,
 }
