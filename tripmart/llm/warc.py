@@ -28,6 +28,8 @@ LEAST_BYTES = 100
 RANGE_BYTES, FILE_BYTES = 32 << 20, 1 << 30
 #: Longest header of a record or of its HTTP message, bytes read at once, and bytes unpacked at once.
 HEADER_BYTES, BLOCK, PIECE = 1 << 20, 1 << 20, 1 << 16
+#: Compression of members, 0 to 9.
+LEVEL = 6
 
 # Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08"
@@ -42,7 +44,7 @@ _PAGE = r"^<urn:page:(-?[0-9]+)>$"
 def _member(fields: list[tuple[str, bytes]], body: bytes) -> bytes:
     """A record as a gzip member of its own."""
     head = b"".join(name.encode() + b": " + value + b"\r\n" for name, value in (*fields, ("Content-Length", b"%d" % len(body))))
-    pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+    pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
     return pack.compress(b"WARC/1.1\r\n" + head + b"\r\n" + body + b"\r\n\r\n") + pack.flush()
 
 
