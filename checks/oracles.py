@@ -254,6 +254,12 @@ MORNING_IDS = f"""(
   SELECT start_station_id AS id FROM staged WHERE {EARLIER} AND h < 12
   UNION SELECT end_station_id FROM staged WHERE {EARLIER} AND h < 12)"""
 
+#: Rides of the even batch, and every seventh ride a day later, where the second batch moved it.
+MOVED = """(
+  SELECT * REPLACE (CASE WHEN number % 7 = 0 THEN dt + 1 ELSE dt END AS dt)
+  FROM (SELECT *, CAST(substr(ride_id, 2) AS BIGINT) AS number FROM fact)
+  WHERE number % 2 = 0 OR number % 7 = 0)"""
+
 BODIES = {
     "raw_trips": f"SELECT {RAW_COLUMNS} FROM raw",
     "raw_zone_scan": f"SELECT {RAW_COLUMNS} FROM raw",
@@ -292,6 +298,13 @@ BODIES = {
         FROM (SELECT *, CAST(substr(ride_id, 2) AS BIGINT) AS number FROM fact)
         WHERE number % 5 < 3 OR number % 7 <> 0)""",
     "merge_table_time": _dim_time("CASE WHEN day(dt) <= 10 THEN 'OLD' ELSE upper(season) END"),
+    "station_totals_by_batch": _dim_stations(),
+    "daily_rollup_by_change": _daily(MOVED),
+    "behavior_rollup_by_change": _behavior(MOVED),
+    "sketch_kpi": f"""
+        SELECT rider AS member_casual, COUNT(*) AS total_rides, {_mean("km_u", 3)} AS avg_distance_km,
+               {_total("km_u", 3)} AS total_distance_km, {_mean("min_u", 2)} AS avg_duration_minutes, TRUE AS as_near_as_said
+        FROM positive WHERE year(dt) = 2024 GROUP BY rider""",
     "upsert_dim_stations": f"""
         WITH old AS ({_dim_stations("dt < DATE '2025-01-01'")}),
              new AS ({_dim_stations("dt >= DATE '2025-01-01'")})

@@ -15,7 +15,7 @@ from tripmart import schemas as S
 from tripmart.fixtures import TRIPS_SQL
 from tripmart.functions import bands, periods
 from tripmart.operators import cleaning, merge, quality, trends
-from tripmart.plans import reports, rollups, star
+from tripmart.plans import monthly, reports, rollups, sketches, star, station_totals
 from tripmart.sinks import tables, zone_writer
 from tripmart.sources import sql, zones
 
@@ -310,6 +310,69 @@ def _agg_user_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.new_user_behavior(rides, existing)
 
 
+def _lake(spark: SparkSession, name: str) -> monthly.Lake:
+    return monthly.Lake(new_folder(spark, name))
+
+
+def _valid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.with_load_date(cleaning.valid_trips(raw_trips(spark, sf_dir)).select(*S.TRIP_COLUMNS.fieldNames()))
+
+
+def _with_batches(trips: DataFrame) -> DataFrame:
+    """Trips in three batches: two by their number, and every seventh in the third as well, where it began a day later."""
+    number = F.expr("CAST(substr(ride_id, 2) AS BIGINT)")
+    first = trips.withColumn("batch", F.when(number % 2 == 0, "202404").otherwise("202406"))
+    later = {x: F.date_format(F.to_timestamp(x) + F.expr("INTERVAL '1' DAY"), "yyyy-MM-dd HH:mm:ss") for x in ("started_at", "ended_at")}
+    return first.unionByName(zones.with_load_date(trips.filter(number % 7 == 0).withColumns(later)).withColumn("batch", F.lit("202405")))
+
+
+def _station_totals_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station totals after three batches that share rides, the last loaded first and one of them again, cut down before."""
+    folder, trips = new_folder(spark, "totals"), _with_batches(_valid_raw(spark, sf_dir))
+    cut = trips.filter((F.col("batch") == "202405") & (F.col("member_casual") == "member"))
+    for batch, rows in (("202406", trips), ("202405", cut), ("202404", trips), ("202405", trips)):
+        staged_rows = cleaning.stage_trips(rows.filter(F.col("batch") == batch).drop("batch"), RUN_TS)
+        parts = station_totals.update_batch(spark, staged_rows, batch, f"{folder}/parts", f"{folder}/rides")
+    return station_totals.stations(parts)
+
+
+def _rollups_by_change(name: str) -> Query:
+    """A rollup after two loads that share dates, of which the second moves rides of the first to other dates."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake, trips = _lake(spark, "rollups"), _with_batches(_valid_raw(spark, sf_dir))
+        for batch in ("202404", "202405"):
+            staged_rows = cleaning.stage_trips(trips.filter(F.col("batch") == batch).drop("batch"), RUN_TS)
+            facts_of = star.fact_rides(staged_rows, RUN_TS)
+            changed = tables.merge_table(spark, facts_of, lake.table("fact_rides"), S.FACT_MERGE)
+            monthly.load_rollups(spark, lake, days=changed)
+        return zones.read_table(spark, lake.table(name), dict(x[:2] for x in monthly.SUMMED)[name])
+
+    return query
+
+
+def _sketch_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs of 2024 from sketches by date: the exact columns, and whether the others are as near as is said."""
+    first, last = date(2024, 1, 1), date(2024, 12, 31)
+    rides = facts(spark, sf_dir)
+    found = sketches.range_kpi(sketches.daily_sketches(rides), first, last).withColumnRenamed("member_casual", "rider")
+    within = rides.filter(F.col("dt").between(F.lit(first), F.lit(last)) & (F.col("total_distance") > 0) & (F.col("ride_duration_minutes") > 0))
+    # ranks of the estimates among all distances, each taken before and after its equals
+    parts = {"p25_distance_km": 0.25, "median_distance_km": 0.5, "p75_distance_km": 0.75}
+    km = F.round(F.col("total_distance").cast("double"), 3)
+    ranked = within.join(found, F.col("member_casual") == F.col("rider")).groupBy("member_casual").agg(
+        *(F.avg((km < F.col(x)).cast("int")).alias(f"{x}_below") for x in parts), *(F.avg((km <= F.col(x)).cast("int")).alias(f"{x}_upto") for x in parts),
+        F.countDistinct("start_station_id").alias("starts"), F.countDistinct("end_station_id").alias("ends"),
+    )
+    near = F.lit(True)
+    for x, part in parts.items():
+        near = near & (F.col(f"{x}_below") <= part + sketches.RANK_ERROR) & (F.col(f"{x}_upto") >= part - sketches.RANK_ERROR)
+    for x, exact_count in (("unique_start_stations", "starts"), ("unique_end_stations", "ends")):
+        near = near & (F.abs(F.col(x) - F.col(exact_count)) <= 2 * sketches.DISTINCT_ERROR * F.col(exact_count))
+    joined = found.join(ranked, F.col("rider") == F.col("member_casual"))
+    return joined.select("member_casual", "total_rides", "avg_distance_km", "total_distance_km", "avg_duration_minutes", near.alias("as_near_as_said"))
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "raw_trips": raw_trips,
@@ -322,6 +385,10 @@ QUERIES: dict[str, Query] = {
     "merge_dedup": _merge_dedup,
     "merge_table_fact": _merge_table_fact,
     "merge_table_time": _merge_table_time,
+    "station_totals_by_batch": _station_totals_by_batch,
+    "daily_rollup_by_change": _rollups_by_change("agg_daily_metrics"),
+    "behavior_rollup_by_change": _rollups_by_change("agg_user_behavior"),
+    "sketch_kpi": _sketch_kpi,
     "upsert_fact": _upsert_fact,
     "upsert_dim_stations": _upsert_dim_stations,
     "upsert_dim_time": _upsert_dim_time,

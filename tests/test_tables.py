@@ -16,7 +16,7 @@ from tripmart import jobs
 from tripmart import schemas as S
 from tripmart.operators import cleaning, merge
 from tripmart.plans import monthly, star, views
-from tripmart.sinks import tables, zone_writer
+from tripmart.sinks import days, keys, tables, zone_writer
 from tripmart.sources import archives, jdbc, sql, zones
 
 LATER = datetime(2025, 8, 1)
@@ -132,18 +132,37 @@ def test_a_moved_ride_empties_its_old_partition(spark, tmp_path):
     assert [r.dt for r in read_facts(spark, path).collect()] == [date(2024, 4, 2)]
 
 
-def test_repeating_a_merge_repairs_a_half_copied_one(spark, tmp_path):
+class Died(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("step", ["add_load", "write_days", "commit", "replace_table", "remove_folders"])
+def test_a_merge_that_dies_anywhere_shows_the_old_month_or_the_new(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "fact_rides")
-    old = fact_frame(spark, [moved("R1", "2024-04-01")], source="old")
-    new = fact_frame(spark, [moved("R1", "2024-04-02")], LATER)
+    old = fact_frame(spark, [moved("R1", "2024-04-01"), moved("R2", "2024-04-02"), moved("R9", "2024-03-01")], source="old")
+    new = fact_frame(spark, [moved("R1", "2024-04-02"), moved("R3", "2024-04-03")], LATER)
     tables.merge_table(spark, old, path, S.FACT_MERGE)
-    # the new partition was copied, the old one not yet rewritten
-    half = merge.upsert(old, merge.cast_to_spec(new, S.FACT_MERGE), S.FACT_MERGE)
-    zone_writer.write_partitions(half, path)
-    assert read_facts(spark, path).count() == 2
-    tables.merge_table(spark, new, path, S.FACT_MERGE)
-    row = read_facts(spark, path).collect()
-    assert [(r.dt, r.data_source) for r in row] == [(date(2024, 4, 2), "old")]
+    tables.merge_table(spark, old, path, S.FACT_MERGE)  # a version before, to be removed
+    state = lambda: sorted((r.ride_id, r.dt.isoformat(), r.data_source) for r in read_facts(spark, path).collect())
+    before = state()
+    open_reader = read_facts(spark, path)
+    after = [("R1", "2024-04-02", "trip_archive"), ("R3", "2024-04-03", "trip_archive"), ("R9", "2024-03-01", "old")]
+    where = {"add_load": tables.keys, "write_days": tables.dated, "commit": tables.dated, "replace_table": days, "remove_folders": days}[step]
+    called = getattr(where, step)
+
+    def dies(*args, **options):
+        if step in ("add_load", "write_days"):
+            called(*args, **options)  # it was done, and nothing after it
+        raise Died
+
+    monkeypatch.setattr(where, step, dies)
+    with pytest.raises(Died):
+        tables.merge_table(spark, new, path, S.FACT_MERGE, replacing="202404")
+    monkeypatch.undo()
+    assert state() == (after if step == "remove_folders" else before)
+    assert sorted(r.ride_id for r in open_reader.collect()) == ["R1", "R2", "R9"]
+    tables.merge_table(spark, new, path, S.FACT_MERGE, replacing="202404")
+    assert state() == after
 
 
 def test_merge_takes_one_row_per_key(spark, tmp_path):
@@ -339,13 +358,110 @@ def test_rollups_of_late_rides(spark, tmp_path):
     assert [r.total_rides for r in daily()] == [2]
 
 
-def test_statistics(spark, tmp_path):
+def scanned_rows(spark, name):
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+    return next(r.data_type for r in described if r.col_name == "Statistics")
+
+
+def test_statistics_of_unpartitioned_tables(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dim_time")
+    tables.merge_table(spark, star.dim_time(staged_frame(spark, [moved("R1", "2024-04-01"), moved("R2", "2024-04-02")])), path, S.TIME_MERGE)
+    tables.refresh_statistics(spark, {"time_statistics": path})
+    assert "2 rows" in scanned_rows(spark, "time_statistics")
+    tables.merge_table(spark, star.dim_time(staged_frame(spark, [moved("R3", "2024-04-03")])), path, S.TIME_MERGE)
+    tables.refresh_statistics(spark, {"time_statistics": path})
+    assert "3 rows" in scanned_rows(spark, "time_statistics")
+
+
+def test_statistics_of_changed_dates_only(spark, tmp_path):
+    path, name = str(tmp_path / "fact_rides"), "day_statistics"
+    tables.merge_table(spark, fact_frame(spark, [moved("R1", "2024-03-01"), moved("R2", "2024-04-01"), moved("R3", "2024-04-02")]), path, S.FACT_MERGE)
+    assert len(tables.refresh_day_statistics(spark, name, path, S.FACT_RIDES)) == 3
+    rows = lambda day: next(r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name} PARTITION (dt = DATE '{day}')").collect() if r.col_name == "Partition Statistics")
+    assert "1 rows" in rows("2024-04-01")
+    tables.merge_table(spark, fact_frame(spark, [moved("R4", "2024-04-01"), moved("R3", "2024-04-05")]), path, S.FACT_MERGE)
+    # no date of another month, though it is in the table
+    assert tables.refresh_day_statistics(spark, name, path, S.FACT_RIDES) == [date(2024, 4, 1), date(2024, 4, 5)]
+    assert "2 rows" in rows("2024-04-01")
+    assert spark.table(name).count() == 4 and "bytes" in scanned_rows(spark, name)
+    assert tables.refresh_day_statistics(spark, name, path, S.FACT_RIDES) == []
+
+
+def test_a_swapped_value_fails_the_load(spark, tmp_path, monkeypatch):
+    """As many rows, the same values in each column, but two of them changed places."""
     path = str(tmp_path / "fact_rides")
-    facts = fact_frame(spark, [moved("R1", "2024-04-01"), moved("R2", "2024-04-02")])
+    facts = fact_frame(spark, [moved("R1", "2024-04-01", start_station_id="A", end_station_id="B"), moved("R2", "2024-04-01", start_station_id="B", end_station_id="A")])
+    write = days.write_observed
+
+    def tampered(df, folder, partition, mode):
+        contents = write(df, folder, partition, mode)
+        swapped = spark.read.schema(df.schema).parquet(folder).withColumns({"start_station_id": F.col("end_station_id"), "end_station_id": F.col("start_station_id")}).select(df.columns)
+        rows = [tuple(r) for r in swapped.collect()]
+        write(spark.createDataFrame(rows, df.schema), folder, partition, mode)
+        return contents
+
+    monkeypatch.setattr(days, "write_observed", tampered)
+    with pytest.raises(zone_writer.WriteMismatch, match="not the same ones"):
+        tables.merge_table(spark, facts, path, S.FACT_MERGE)
+    assert zones.read_table(spark, path, S.FACT_RIDES, first_load=True).count() == 0
+    monkeypatch.undo()
     tables.merge_table(spark, facts, path, S.FACT_MERGE)
-    tables.refresh_statistics(spark, {"fact_statistics": path})
-    described = spark.sql("DESCRIBE EXTENDED fact_statistics").collect()
-    assert any(r.col_name == "Statistics" and "2 rows" in r.data_type for r in described)
+    days.require_sound(spark, path, S.FACT_RIDES)
+    [part] = zones.day_parts(spark, path).values()
+    folder = f"{path}/data/run={part.run}/dt={part.day}"
+    rows = [tuple(r)[:-1] for r in read_facts(spark, path).select(*[c for c in S.FACT_RIDES.fieldNames() if c != "dt"], "dt").collect()]
+    schema = S.T.StructType([x for x in S.FACT_RIDES if x.name != "dt"])
+    changed = spark.createDataFrame(rows, schema).withColumn("start_station_id", F.lit("A"))
+    changed.write.mode("overwrite").parquet(folder)
+    with pytest.raises(zone_writer.WriteMismatch, match="2024-04-01"):
+        days.require_sound(spark, path, S.FACT_RIDES)
+
+
+def test_nulls_that_change_columns_are_seen(spark):
+    schema = "a string, b string"
+    one, other = (spark.createDataFrame(rows, schema) for rows in ([("x", None)], [(None, "x")]))
+    assert one.agg(*zone_writer.contents_of(one.schema)).first() != other.agg(*zone_writer.contents_of(other.schema)).first()
+
+
+def test_keys_are_looked_up_without_a_shuffle_of_what_is_stored(spark, tmp_path):
+    path = str(tmp_path / "fact_rides")
+    for month in ("2024-02", "2024-03"):
+        tables.merge_table(spark, fact_frame(spark, [moved(f"R{month}{k}", f"{month}-0{k}") for k in range(1, 6)]), path, S.FACT_MERGE)
+    source = fact_frame(spark, [moved("R2024-031", "2024-04-01")])
+    before = {x: spark.conf.get(x) for x in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = keys.dates_of(spark, source, f"{path}/keys", tables.key_schema(S.FACT_MERGE), "ride_id", "dt")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert [r.dt for r in found.collect()] == [date(2024, 3, 1)]
+    stored = plan[plan.index("Join") : plan.index("tripmart_keys_")]
+    assert "Exchange" not in stored and "Bucketed: true" in plan and plan.count("FileScan") == 1
+
+
+def test_a_merge_reads_no_other_dates(spark, tmp_path):
+    """Other dates' files may even be gone."""
+    path = tmp_path / "fact_rides"
+    tables.merge_table(spark, fact_frame(spark, [moved("R1", "2024-03-01"), moved("R2", "2024-04-01")]), str(path), S.FACT_MERGE)
+    march = zones.day_parts(spark, str(path))[date(2024, 3, 1)]
+    hidden = path / "data" / f"run={march.run}" / "dt=2024-03-01"
+    hidden.rename(tmp_path / "away")
+    changed = tables.merge_table(spark, fact_frame(spark, [moved("R2", "2024-04-02"), moved("R3", "2024-04-01")]), str(path), S.FACT_MERGE)
+    assert changed == {date(2024, 4, 1), date(2024, 4, 2)}
+    (tmp_path / "away").rename(hidden)
+    assert sorted((r.ride_id, r.dt.day) for r in read_facts(spark, str(path)).collect()) == [("R1", 1), ("R2", 2), ("R3", 1)]
+
+
+def test_keys_are_merged_after_some_loads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keys, "MOST_LOADS", 2)
+    path = str(tmp_path / "fact_rides")
+    for day in (1, 2, 3, 4):
+        tables.merge_table(spark, fact_frame(spark, [moved("R1", f"2024-04-0{day}"), moved(f"S{day}", f"2024-04-0{day}")]), path, S.FACT_MERGE)
+    assert len(keys.loads(spark, f"{path}/keys")) <= 2
+    assert sorted((r.ride_id, r.dt.day) for r in read_facts(spark, path).collect()) == [("R1", 4), ("S1", 1), ("S2", 2), ("S3", 3), ("S4", 4)]
 
 
 def test_merge_statement_casts_and_preserves():

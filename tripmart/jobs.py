@@ -49,8 +49,10 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.step == "clear":
         print("deleted:", monthly.clear_month(spark, lake, month))
     elif options.step == "load":
-        monthly.load_star(spark, lake, run_ts, month)
-        monthly.load_rollups(spark, lake, month, options.refresh)
+        changed = monthly.load_star(spark, lake, run_ts, month)
+        monthly.load_rollups(spark, lake, days=changed)
+        if options.refresh:
+            monthly.load_rollups(spark, lake, month, refresh=True)
         monthly.require_references(monthly.check_references(spark, lake, month))
         monthly.refresh_statistics(spark, lake)
     else:

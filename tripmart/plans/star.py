@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -71,14 +71,12 @@ def dim_time(dates: DataFrame, date_col: str = "dt") -> DataFrame:
     )
 
 
-def dim_stations(staged: DataFrame) -> DataFrame:
-    """One row per station, with departures and arrivals.
+#: Where a ride began or ended, as recorded.
+PLACE = ("station_id", "station_name", "latitude", "longitude")
 
-    Each trip yields its two ends, which are counted per place in one shuffle
-    with map-side partial sums; the second step merges the few places a station
-    was recorded at and keeps the lowest, known names before missing ones. Grouping the ends by station gives what
-    joining the distinct stations to both counts gives, without the joins.
-    """
+
+def ride_ends(staged: DataFrame, *carried: str) -> DataFrame:
+    """The two ends of each trip: its place, ``departed``, the trip's minutes, and the columns ``carried``."""
     minutes = exact.measure(F.col("trip_duration_minutes"))
 
     def end(side: str):
@@ -91,26 +89,29 @@ def dim_stations(staged: DataFrame) -> DataFrame:
             minutes.alias("minutes"),
         )
 
-    ends = staged.select(F.inline(F.array(end("start"), end("end"))))
-    places = (
-        ends.filter(F.col("station_id").isNotNull())
-        .groupBy("station_id", "station_name", "latitude", "longitude")
-        .agg(
-            *(
-                aggregate(F.when(condition, value)).alias(f"{side}_{name}")
-                for side, condition in (
-                    ("out", F.col("departed")),
-                    ("in", ~F.col("departed")),
-                )
-                for name, aggregate, value in (
-                    ("rides", F.count, F.lit(1)),
-                    ("timed", F.count, F.col("minutes")),
-                    ("minutes", F.sum, F.col("minutes")),
-                )
+    ends = staged.select(*carried, F.inline(F.array(end("start"), end("end"))))
+    return ends.filter(F.col("station_id").isNotNull())
+
+
+def place_sums(ends: DataFrame, *by: str, sign: Column | None = None) -> DataFrame:
+    """Departures and arrivals of each place: rides, rides with a duration, and minutes, times ``sign`` where given."""
+    sign = F.lit(1) if sign is None else sign
+    return ends.groupBy(*by, *PLACE).agg(
+        *(
+            F.sum(F.when(condition, value).otherwise(0)).cast(kind).alias(f"{side}_{name}")
+            for side, condition in (("out", F.col("departed")), ("in", ~F.col("departed")))
+            for name, value, kind in (
+                ("rides", sign, "long"),
+                ("timed", F.when(F.col("minutes").isNotNull(), sign).otherwise(0), "long"),
+                ("minutes", F.coalesce(F.col("minutes") * sign, F.lit(0)), "decimal(28,6)"),
             )
         )
     )
-    parts = ("station_name", "latitude", "longitude")
+
+
+def stations_of(places: DataFrame) -> DataFrame:
+    """Stations from the sums of their places: the lowest place, known values before missing ones."""
+    parts = PLACE[1:]
     lowest = F.min(F.struct(*(x for c in parts for x in (F.isnull(c).alias(f"no_{c}"), F.col(c)))))
     stations = places.groupBy("station_id").agg(
         lowest.alias("place"),
@@ -123,6 +124,17 @@ def dim_stations(staged: DataFrame) -> DataFrame:
     return stations.select("station_id", *place, *S.DIM_STATIONS.fieldNames()[4:])
 
 
+def dim_stations(staged: DataFrame) -> DataFrame:
+    """One row per station, with departures and arrivals.
+
+    Each trip yields its two ends, which are counted per place in one shuffle
+    with map-side partial sums; the second step merges the few places a station
+    was recorded at. Grouping the ends by station gives what joining the distinct
+    stations to both counts gives, without the joins.
+    """
+    return stations_of(place_sums(ride_ends(staged)))
+
+
 def orphan_facts(facts: DataFrame, times: DataFrame, stations: DataFrame) -> DataFrame:
     """Facts whose date or station has no dimension row, counted per foreign key."""
     return orphans(

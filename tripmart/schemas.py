@@ -197,6 +197,35 @@ SUMMARY_CATEGORIES = (
 )
 
 
+# --- tables that loads keep beside the mart ----------------------------------
+
+CONTENTS = (("n_rows", T.LongType()), ("row_sum", T.DecimalType(38, 0)), ("row_xor", T.LongType()))
+
+#: Which run's folder holds a date of a table, and what is in it.
+DAY_FOLDERS = T.StructType(
+    [T.StructField("day", T.DateType()), T.StructField("run", T.StringType())]
+    + [T.StructField(name, kind) for name, kind in CONTENTS]
+)
+
+#: Sums of a batch's rides by the place they began or ended at. The row without station says which load of the batch counts.
+STATION_PARTS = T.StructType(
+    [T.StructField(x, T.StringType()) for x in ("batch", "load", "station_id", "station_name")]
+    + [T.StructField(x, T.DoubleType()) for x in ("latitude", "longitude")]
+    + [
+        T.StructField(f"{side}_{name}", kind)
+        for side in ("out", "in")
+        for name, kind in (("rides", T.LongType()), ("timed", T.LongType()), ("minutes", T.DecimalType(28, 6)))
+    ]
+)
+
+AGG_SKETCHES = T.StructType(
+    [T.StructField("date_key", T.DateType()), T.StructField("member_type", T.StringType())]
+    + [T.StructField(x, T.LongType()) for x in ("total_rides", "timed_rides")]
+    + [T.StructField(x, T.DecimalType(28, 6)) for x in ("total_distance", "total_minutes")]
+    + [T.StructField(x, T.BinaryType()) for x in ("distances", "start_stations", "end_stations", "routes")]
+)
+
+
 # --- merge rules ------------------------------------------------------------
 
 

@@ -3,18 +3,23 @@
 A zone is partitioned by batch, the month of the archive, and within a batch by date.
 An unpartitioned mart table is kept as versions: folders of which the highest that was
 written to its end holds. A reader never sees a version that is being written.
+A table kept by date has each date in a folder of the run that wrote it, and a small
+table of versions, ``days``, says which folder holds a date. So a run that changes many
+dates takes effect at once, when the next version of ``days`` is whole.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions import periods, trip
+from tripmart.schemas import DAY_FOLDERS
 
 
 def with_load_date(trips: DataFrame) -> DataFrame:
@@ -33,6 +38,13 @@ def read_zone(
     return zone if with_batch else zone.drop("batch")
 
 
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """The batches of a zone, by the names of its folders; no file is read."""
+    root, files = _folder(spark, path)
+    found = [status.getPath().getName() for status in files.listStatus(root)] if files.exists(root) else []
+    return sorted(name.removeprefix("batch=") for name in found if name.startswith("batch="))
+
+
 def month_slice(df: DataFrame, month: str, date_col: str = "dt") -> DataFrame:
     return df.filter(periods.in_month(F.col(date_col), month))
 
@@ -66,18 +78,60 @@ def version_path(path: str, number: int) -> str:
     return f"{path}/v={number}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _folder(spark, path)
+    return files.exists(where)
+
+
+def newest(spark: SparkSession, path: str) -> str | None:
+    """The folder of the highest whole version of a table, if it has any."""
+    done = [number for number, whole in versions(spark, path).items() if whole]
+    return version_path(path, max(done)) if done else None
+
+
+def day_parts(spark: SparkSession, path: str) -> dict[date, Row]:
+    """The dates of a table kept by date, and where each lies: one row a date, few enough for the driver."""
+    folder = newest(spark, f"{path}/days")
+    return {row.day: row for row in spark.read.schema(DAY_FOLDERS).parquet(folder).collect()} if folder else {}
+
+
+#: Dates that are named one by one; of more, the runs' folders are listed and their other dates pruned.
+FEW_DAYS = 31
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, parts: Iterable[Row], partition: str = "dt"
+) -> DataFrame:
+    """The dates of ``parts``; no file of other dates is read."""
+    runs: dict[str, list[date]] = {}
+    for part in parts:
+        runs.setdefault(part.run, []).append(part.day)
+    if not runs:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", f"{path}/data")
+    if sum(map(len, runs.values())) <= FEW_DAYS:
+        folders = [f"{path}/data/run={run}/{partition}={day}" for run, days in runs.items() for day in days]
+        return reader.parquet(*folders).select(*schema.fieldNames())
+    rows = reader.parquet(*(f"{path}/data/run={run}" for run in runs))
+    wanted = F.lit(False)
+    for run, days in runs.items():
+        wanted = wanted | ((F.col("run") == run) & F.col(partition).isin(days))
+    return rows.filter(wanted).select(*schema.fieldNames())
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, first_load: bool = False
 ) -> DataFrame:
     """Mart table. One that is not there is an error, unless this may be its first load."""
-    done = [number for number, whole in versions(spark, path).items() if whole]
-    if done:
-        path = version_path(path, max(done))
-    elif first_load:
-        where, files = _folder(spark, path)
-        if not files.exists(where):
-            return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    if folder := newest(spark, path):
+        return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+    if newest(spark, f"{path}/days"):
+        return read_days(spark, path, schema, day_parts(spark, path).values())
+    # folders of a first load that died are no table yet
+    begun = exists(spark, f"{path}/data")
+    if first_load and (begun or not exists(spark, path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/days" if begun else path).select(*schema.fieldNames())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
