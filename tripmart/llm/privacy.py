@@ -26,7 +26,8 @@ SYLLABLES = {
 
 _TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A domain has 127 labels at most. Unbounded, Java would recurse for each, and run out of stack in a text full of dots.
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}"
 _SECRET = rf"\b(?i:{SECRETS})\s?[=:]\s?[\"']?[A-Za-z0-9/+_-]{{8,}}"
 _CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 _ADDRESS = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
@@ -218,22 +219,17 @@ def replaced_rows(df: DataFrame, key: str) -> DataFrame:
     chosen = surrogates(written(found.select("type", "value").distinct()), key)
     chosen = chosen.select(F.col("type").alias("its_type"), F.col("value").alias("its_value"), "surrogate")
     joined = found.join(chosen, (F.col("type") == F.col("its_type")) & (F.col("value") == F.col("its_value")))
-    one = F.struct("place", "part", "kind", "entity", "surrogate")
-    # a document's entities, as many as its text has; equal rows give the same ones
-    texts = joined.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("its_hash")).agg(F.sort_array(F.collect_set(one)).alias("found"))
-    firsts = F.filter("found", lambda x: x["part"] == 0)
-
-    def render(x: Column) -> Column:
-        # an entity has two parts at most, one after the other
-        again = F.filter("found", lambda y: (y["place"] == x["place"]) & (y["part"] == 1))
-        parts = F.concat(F.array(x["surrogate"]), F.transform(again, lambda y: y["surrogate"]))
-        return _rendered(x["kind"], x["entity"], F.when(x["kind"] == "name", parts).otherwise(F.array(x["surrogate"])))
-
-    texts = texts.select(
-        "id", "its_hash", F.transform(firsts, render).alias("renewed"),
-        F.size(firsts).cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform(firsts, lambda x: x["kind"]))), ",").alias("entity_kinds"),
+    # the parts of an entity meet first, one or two of them; equal rows give the same ones
+    entities = joined.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("its_hash"), "place").agg(
+        F.first("kind").alias("kind"), F.first("entity").alias("entity"), F.sort_array(F.collect_set(F.struct("part", "surrogate"))).alias("parts")
     )
+    renewed = _rendered(F.col("kind"), F.col("entity"), F.transform("parts", lambda x: x["surrogate"]))
+    texts = entities.groupBy("id", "its_hash").agg(
+        F.sort_array(F.collect_list(F.struct("place", renewed.alias("renewed")))).alias("found"),
+        F.count("*").alias("n_entities"),
+        F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("entity_kinds"),
+    )
+    texts = texts.select("id", "its_hash", F.transform("found", lambda x: x["renewed"]).alias("renewed"), "n_entities", "entity_kinds")
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     clean = df.filter(~has_entity(F.col("text"))).select(whole.alias("whole"), F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_kinds"))
     private = df.filter(has_entity(F.col("text"))).select(
