@@ -115,15 +115,19 @@ def text_evidence(model: TextModel):
 
 
 def visible_text(html: Column) -> Column:
-    """What a page shows: without scripts, styles, comments, tags and character references."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    return F.regexp_replace(F.regexp_replace(text, r"(?s)<[^>]*>", " "), r"&#?\w{1,12};", " ")
+    """What a page shows: without scripts, styles, comments, tags and character references.
+
+    A script, style or comment that isn't closed goes to the end, as in browsers, and a tag has no other in it, so no
+    place is looked at again from each of many broken tags.
+    """
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)", " ")
+    return F.regexp_replace(F.regexp_replace(text, r"<[^<>]*>", " "), r"&#?\w{1,12};", " ")
 
 
 def declared_language(html: Column) -> Column:
     """The language that the html tag or a content-language header in the markup names, without its region."""
-    tag = F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})", 1)
-    meta = F.regexp_extract(html, r"(?is)<meta\b[^>]*content-language[^>]*content\s*=\s*[\"']?\s*([a-z]{2,3})", 1)
+    tag = F.regexp_extract(html, r"(?i)<html(?=\s)[^<>]*?\slang\s*=\s*[\"']?\s*([a-z]{2,3})", 1)
+    meta = F.regexp_extract(html, r"(?i)<meta(?=\s)(?=[^<>]*content-language)[^<>]*?\scontent\s*=\s*[\"']?\s*([a-z]{2,3})", 1)
     found = F.lower(F.when(tag != "", tag).otherwise(meta))
     return F.when(found != "", found)
 
