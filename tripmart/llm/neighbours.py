@@ -24,12 +24,21 @@ SHARD, LEAF, QUERIES = 8192, 256, 2048
 SLACK = 1e-9
 
 
+def even(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two that brings their largest component near one, so that no square of it is lost to
+    nothing or infinity. Other components, and so the cosines, stay what they are."""
+    _, power = np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))
+    return np.ldexp(vectors, -power)
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = even(vectors)
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
 
 def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosine of a query with each vector in double precision; equal vectors have equal cosines wherever they stand."""
+    query, vectors = even(query), even(vectors)
     lengths = np.sqrt((vectors * vectors).sum(axis=1))
     return (vectors * query).sum(axis=1) / (np.sqrt((query * query).sum()) * lengths)
 
