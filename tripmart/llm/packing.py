@@ -117,8 +117,8 @@ class Batch:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        alone = [x for x in texts if self.own in x]
-        rest = [x for x in texts if self.own not in x]
+        alone = [x for x in texts if self.own in x or x.isspace()]  # white space would run into a mark
+        rest = [x for x in texts if not (self.own in x or x.isspace())]
         if self.id is None or len(rest) < 2:
             return self._each(texts)
         joined = self.tokenizer.encode_batch_fast([self.mark.join(rest)], add_special_tokens=False)[0]
@@ -138,7 +138,7 @@ def _ids_of(path: str, spaces: bool) -> PieceCache:
     from tokenizers import Tokenizer
 
     # a line break stands alone between pieces that begin with a space, and so does a mark between spaces
-    return PieceCache(Batch(Tokenizer.from_file(path), "\n" if spaces else " | "), spaces=spaces)
+    return PieceCache(Batch(Tokenizer.from_file(path), "\n" if spaces else " | "), spaces=spaces, runs=spaces)
 
 
 def token_ids(texts: pa.Array, path: str, spaces: bool, end: int) -> Iterator[bytes]:
