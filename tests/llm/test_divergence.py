@@ -84,8 +84,9 @@ def test_counts_that_fill_64_bits(spark):
 
 def test_flushes_count_alike():
     held = divergence.ChunkCounts(2)
-    for number, text in enumerate([b"a b a", b"A c", b"a b", b""]):
-        held.add(number, "en", "s", text)
-    columns = list(held.columns())
-    assert dict(zip(columns[0][2], columns[0][3])) == {None: 0, b"a": 4, b"b": 2, b"c": 1}
-    assert dict(zip(columns[1][2], zip(*columns[1][4:]))) == {b"a": (2, 0, 1), b"b": (2, 0, 2), b"c": (1, 1, 1)}
+    for number, text in enumerate([b"a b a", b"A c", b"b", b"a"]):
+        held.add(number, "en", "t" if number == 1 or number == 2 else "s", text)
+    chunks, groups = ([x.to_pylist() for x in columns] for columns in held.columns())
+    found = {chunk: (dict(zip(sources, counts)), *rest) for chunk, sources, counts, *rest in zip(*chunks[1:])}
+    assert found == {b"a": ({"s": 3, "t": 1, None: 0}, 2, 0, 1), b"b": ({"s": 1, "t": 1, None: 0}, 2, 0, 2), b"c": ({"t": 1, None: 0}, 1, 1, 1)}
+    assert groups == [["en"], [None], [["s", "t"]], [[0, 0]], [0], [None], [None]]

@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import duck
 from tests.conftest import SMALL
-from tests.llm.helpers import empty, frame, odd_rows
+from tests.llm.helpers import SCHEMA, empty, frame, odd_rows
 from tripmart.llm import components, jaccard, languages, licenses, privacy, quality, spotsigs
 from tripmart.llm.tables import read
 
@@ -423,3 +425,40 @@ def test_surrogates_of_odd_rows(spark):
     out = privacy.replace(frame(spark), "key")
     assert out.columns == [*frame(spark).columns, "n_entities", "entity_kinds"] and out.count() == len(odd_rows())
     assert privacy.replace(empty(spark), "key").count() == 0
+
+
+# Texts that might end an executor or stall it -----------------------------------------------------------------------
+
+
+def test_long_domains_and_many_entities(spark):
+    many = " ".join(f"u{k}@h{k}.org" for k in range(50_000))
+    texts = ["x@" + "a." * 500_000, "x@" + "ab." * 300_000 + "com", many, "mail bob@mail.example.co.uk... or a@b..com"]
+    df = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], SCHEMA)
+    out = {r["doc_id"]: r for r in privacy.replace(df, "k").collect()}
+    assert out[0]["text"] == texts[0] and out[0]["n_entities"] == 0
+    assert out[2]["n_entities"] == 50_000 and len(set(out[2]["text"].split())) == 50_000
+    assert out[3]["n_entities"] == 1 and out[3]["text"].endswith(".example... or a@b..com")
+
+
+def test_broken_markup_takes_linear_time(spark):
+    pages = [x * (1_000_000 // len(x)) for x in ("<script ", "<style>", "<!--", "<", "<html ", "<meta content-language ", "<a href='")]
+    rows = [(k, f"http://h.de/{k}", "<p>the cat and the dog of the house</p>" + x) for k, x in enumerate(pages)]
+    shown = spark.createDataFrame(rows, "page_id long, url string, html string").select(
+        languages.visible_text(F.col("html")).alias("shown"), languages.declared_language(F.col("html")).alias("declared")
+    )
+    began = time.time()
+    assert all("the cat and the dog" in r["shown"] and r["declared"] is None for r in shown.collect())
+    assert time.time() - began < 60
+
+
+@pytest.mark.parametrize(
+    "html, lang",
+    [
+        ('<html data-lang="xx" lang="de">', "de"), ('<HTML\nclass=a LANG = fr-CA>', "fr"), ('<html xml:lang="it">', None),
+        ('<meta content="es" http-equiv="content-language">', "es"), ('<meta http-equiv="Content-Language" content="pt-BR">', "pt"),
+        ('<meta name="x" content="en"><html>', None), ("", None),
+    ],
+)
+def test_declared_language(spark, html, lang):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(languages.declared_language(F.col("html"))).first()[0] == lang

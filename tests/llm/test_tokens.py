@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -181,3 +182,21 @@ def test_files_of_odd_rows(spark):
             start += len(ids)
         assert sorted(map(tuple, rows), key=lambda r: r[1]) == expected
     assert bitplanes.round_trip(empty(spark), BYTES).count() == 0
+
+
+def test_letters_that_a_normalizer_takes_apart():
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalnum() and not 0xD800 <= c < 0xE000]
+    given = [f"a{c}, d a{c}.\nb{c} {c}x. {c}" for c in letters]
+    for path, spaces in ((WORDS, False), (BYTES, True)):
+        own = packing.token_ids(pa.array(given), path, spaces, 0)
+        for text, ids, whole in zip(given, own, Tokenizer.from_file(path).encode_batch_fast(given, add_special_tokens=False)):
+            assert ids[:-4] == np.array(whole.ids, "<u4").tobytes(), text
+
+
+def test_runs_of_white_space():
+    rng = random.Random(9)
+    parts = ["a", "the", "Word", ",", "'s", "7", "  ", "\n\n", "\t", " ", "\n", "\r\n", "!!", "é", "\x0b", " \n ", "\x0c ", "\x1c"]
+    given = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    own = packing.token_ids(pa.array(given), BYTES, True, 0)
+    for text, ids, whole in zip(given, own, Tokenizer.from_file(BYTES).encode_batch_fast(given, add_special_tokens=False)):
+        assert ids[:-4] == np.array(whole.ids, "<u4").tobytes(), text

@@ -69,3 +69,19 @@ def test_many_ties_and_relaxed_search():
         assert (ids[np.lexsort((ids, -cosine))[:5]] == found).all()
     relaxed, _ = tree.search(names, queries, 5, 1.5)
     assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(exact, relaxed)]) >= 0.9
+
+
+def test_tiny_and_huge_vectors(spark):
+    rows = [(0, [1e-200, 2e-200]), (1, [1e-200, 1e-200]), (2, [1e200, 3e200]), (3, [5e-324, 0.0]), (4, [-1e308, 1e308]), (5, [1.0, 2.0]), (6, [1e-200, 1e200])]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA.replace("float", "double"))
+    out = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in neighbours.nearest_of(df, 50, 6).collect()}
+    from fractions import Fraction
+
+    def cosine(a, b):
+        a, b = [Fraction(x) for x in a], [Fraction(x) for x in b]
+        a, b = ([x / max(abs(y) for y in v) for x in v] for v in (a, b))
+        return float(sum(x * y for x, y in zip(a, b))) / math.sqrt(float(sum(x * x for x in a) * sum(x * x for x in b)))
+
+    expected = sorted(((-cosine(rows[0][1], v), i) for i, v in rows[1:]))
+    assert [out[0, k][0] for k in range(1, 7)] == [i for _, i in expected]
+    assert [out[0, k][1] for k in range(1, 7)] == pytest.approx([-s for s, _ in expected], abs=1e-15)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from tripmart.llm.tables import written
 LEAST_DOCUMENTS, TOP = 3, 200
 SCALE = 10**9
 #: Different chunks by group that a task counts before it hands them on, and cells (source, term) of a block of terms.
-HELD, CELLS = 400_000, 1 << 20
+HELD, CELLS = 1_000_000, 1 << 20
 #: Counts from here on would overflow when scaled in 64 bits.
 _SMALL = (2**63 - 1) // SCALE - 1
 
@@ -59,21 +60,36 @@ class ChunkCounts:
     def size(self) -> int:
         return sum(map(len, self.counts.values()))
 
-    def columns(self) -> Iterator[list[list]]:
-        """lang, source, chunk, n, n_documents, low, high: occurrences by group, with a row without chunk for each group,
-        and with a null source the documents."""
+    def columns(self) -> Iterator[list[pa.Array]]:
+        """lang, chunk, sources, counts, n_documents, low, high: for each chunk of a language the sources that have it and
+        how often, and a last null source with count 0 for the documents. Without chunk: all sources."""
+        by_lang: dict[str, list[tuple[str, Counter]]] = {}
         for (lang, source), counts in self.counts.items():
-            size = len(counts) + 1
-            none = [None] * size
-            yield [[lang] * size, [source] * size, [None, *counts], [0, *counts.values()], [0] * size, none, none]
-        for lang, known in self.documents.items():
-            size, found = len(known), list(known.values())
-            yield [[lang] * size, [None] * size, list(known), [0] * size, list(map(len, found)), [x[0] for x in found], [x[-1] for x in found]]
+            by_lang.setdefault(lang, []).append((source, counts))
+        for lang, groups in by_lang.items():
+            known, names = self.documents[lang], [source for source, _ in groups]
+            place = dict(zip(known, range(len(known)))).__getitem__
+            # all (chunk, source, count), sorted by chunk; the documents' mark is one source more
+            chunks = [np.fromiter(map(place, counts), np.int64, len(counts)) for _, counts in groups] + [np.arange(len(known))]
+            numbers = [np.fromiter(counts.values(), np.int64, len(counts)) for _, counts in groups] + [np.zeros(len(known), np.int64)]
+            codes = np.repeat(np.arange(len(chunks)), [len(x) for x in chunks])
+            chunks = np.concatenate(chunks)
+            order = np.argsort(chunks, kind="stable")
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(chunks, minlength=len(known)))]), pa.int32())
+            sources = pa.array([*names, None], pa.string()).take(pa.array(codes[order]))
+            found = known.values()
+            numbers_of = lambda get: np.fromiter(map(get, found), np.int64, len(known))
+            yield [
+                pa.array([lang] * len(known), pa.string()), pa.array(known, pa.binary()), pa.ListArray.from_arrays(ends, sources),
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate(numbers)[order])), *(pa.array(numbers_of(get)) for get in (len, itemgetter(0), itemgetter(-1))),
+            ]
+            none = pa.array([None], pa.int64())
+            yield [pa.array([lang]), pa.array([None], pa.binary()), pa.array([names], pa.list_(pa.string())), pa.array([[0] * len(names)], pa.list_(pa.int64())), pa.array([0]), none, none]
 
 
 def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """What tasks count in ``documents`` (text, lang, source; nulls are empty): lang, source, chunk, n, n_documents, low,
-    high. Rows of one language and chunk never speak of the same document."""
+    """What tasks count in ``documents`` (text, lang, source; nulls are empty): lang, chunk, sources, counts, n_documents,
+    low, high. Rows of one language and chunk never speak of the same document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = ChunkCounts(least)
@@ -81,9 +97,9 @@ def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFram
 
         def handed() -> Iterator[pa.RecordBatch]:
             for columns in held.columns():
-                whole = [pa.array(x, f.type) for x, f in zip(columns, schema)]
-                for at in range(0, len(whole[0]), 50_000):
-                    yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in whole], schema=schema)
+                whole = pa.RecordBatch.from_arrays(columns, schema=schema)
+                for at in range(0, whole.num_rows, 20_000):
+                    yield whole.slice(at, 20_000)
 
         for batch in batches:
             for text, lang, source in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -94,10 +110,10 @@ def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFram
                 held = ChunkCounts(least)
         yield from handed()
 
-    longs = [(x, pa.int64()) for x in ("n", "n_documents", "low", "high")]
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("chunk", pa.binary()), *longs])
+    lists = [("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
+    schema = pa.schema([("lang", pa.string()), ("chunk", pa.binary()), *lists, *((x, pa.int64()) for x in ("n_documents", "low", "high"))])
     rows = documents.select(*(F.coalesce(documents[x], F.lit("")).cast(kind).alias(x) for x, kind in (("text", "binary"), ("lang", "string"), ("source", "string"))))
-    return rows.mapInArrow(run, "lang string, source string, chunk binary, n long, n_documents long, low long, high long")
+    return rows.mapInArrow(run, "lang string, chunk binary, sources array<string>, counts array<long>, n_documents long, low long, high long")
 
 
 def kept_counts(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +125,10 @@ def kept_counts(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> tuple[Dat
     if not 1 <= least <= 3:
         raise ValueError("terms are kept from one, two or three documents on")
     sums = [F.sum("n").alias("n"), F.sum("n_documents").alias("n_documents"), F.min("low").alias("low"), F.max("high").alias("high")]
-    counts = written(count_chunks(documents, least).groupBy("lang", "source", "chunk").agg(*sums))
+    # a task has one row for a chunk; where they meet, they are dealt out to sources and added up without moving again
+    met = count_chunks(documents, least).repartition("lang", "chunk")
+    met = met.select("lang", "chunk", "n_documents", "low", "high", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+    counts = written(met.groupBy("lang", "source", "chunk").agg(*sums))
     groups = counts.filter(F.col("source").isNotNull() & F.col("chunk").isNull()).select("lang", "source")
     chunks = counts.filter(F.col("chunk").isNotNull())
     found = F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM), F.lit(0))
