@@ -28,9 +28,11 @@ from tripmart.llm.textbytes import U64, blocks, mix, shingle_sets, space_split,
 
 #: Longs of a short sketch.
 SKETCH = 8
-#: A block that several classes share is remembered in a map of so many bits, whatever the size of the corpus. Where
-#: two blocks fall on one bit, more rows are joined; none is missed.
-MAP_BITS = 26
+#: Keys that are remembered have a bit each in a map of at least so many bits a key, and of 2**LEAST_BITS to 2**MOST_BITS
+#: in all. Where two fall on one bit, more rows are joined; none is missed.
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 12, 20, 30
+#: Keys that are looked through at once for those that come again.
+SEGMENT_KEYS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -123,8 +125,8 @@ def short_sketches(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _over_sets(df: DataFrame, width: int, make: Callable, schema: str) -> DataFrame:
-    """Rows that ``make(doc_ids, value, bounds, classes, memory)`` gives as a dict of columns for blocks of texts.
-    ``memory`` is a set that lasts for an Arrow batch."""
+    """Rows that ``make(rows, value, bounds, classes, memory)`` gives as a dict of columns for blocks of texts, the
+    second column of ``df``. ``memory`` is a set that lasts for an Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = space_split()
@@ -132,25 +134,27 @@ def _over_sets(df: DataFrame, width: int, make: Callable, schema: str) -> DataFr
             memory: set[int] = set()
             for block in blocks(batch.column(1)):
                 value, bounds = shingle_sets(words(block, table), width)
-                ids = batch.column(0).slice(block.first, len(block))
-                made = make(ids, value, bounds, set_hashes(value, bounds).view(np.int64), memory)
+                rows = batch.slice(block.first, len(block))
+                made = make(rows, value, bounds, set_hashes(value, bounds).view(np.int64), memory)
                 if made:
                     yield pa.RecordBatch.from_pydict(made)
 
-    return df.select("doc_id", "text").mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
-def _sketched(df: DataFrame, width: int) -> DataFrame:
-    """doc_id, class (null for an empty set), n_shingles, s0 ...: the short sketch."""
+def _sketched(df: DataFrame, width: int, hashed: bool) -> DataFrame:
+    """doc_id, class (null for an empty set), n_shingles, s0 ...: the short sketch, and the text's hash if asked for."""
 
-    def make(ids, value, bounds, classes, _):
+    def make(rows, value, bounds, classes, _):
         sketch = short_sketches(value, bounds)
-        columns = {"doc_id": ids, "class": pa.array(classes, mask=classes == 0), "n_shingles": np.diff(bounds)}
-        return columns | {f"s{k}": np.ascontiguousarray(sketch[:, k]) for k in range(SKETCH)}
+        columns = {"doc_id": rows.column(0), "class": pa.array(classes, mask=classes == 0), "n_shingles": np.diff(bounds)}
+        columns |= {f"s{k}": np.ascontiguousarray(sketch[:, k]) for k in range(SKETCH)}
+        return columns | ({"text_hash": rows.column(2)} if hashed else {})
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    sketch = "".join(f", s{k} long" for k in range(SKETCH))
-    return _over_sets(df, width, make, f"doc_id {kind}, class long, n_shingles long{sketch}")
+    sketch = "".join(f", s{k} long" for k in range(SKETCH)) + ", text_hash long" * hashed
+    texts = df.select("doc_id", "text", *[F.xxhash64("text").alias("text_hash")] * hashed)
+    return _over_sets(texts, width, make, f"doc_id {kind}, class long, n_shingles long{sketch}")
 
 
 def _new(classes: np.ndarray, memory: set[int]) -> np.ndarray:
@@ -166,9 +170,14 @@ def _chosen(value: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[n
     return value[np.repeat(kept, size)], np.concatenate([[0], np.cumsum(size[kept])])
 
 
+def _map_bits(keys: int) -> int:
+    """Logarithm of the size of a map for so many keys."""
+    return min(max((keys * BITS_A_KEY).bit_length(), LEAST_BITS), MOST_BITS)
+
+
 def _bit_map(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the keys (a column ``key``) by their lowest bits: at most 2**bits / 8 bytes come to the driver."""
-    place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+    """Bits of the keys (a column ``key``) by their leading bits: at most 2**bits / 8 bytes come to the driver."""
+    place = F.shiftrightunsigned("key", 64 - bits)
     rows = keys.select(F.shiftright(place, 15).alias("part"), place.bitwiseAND(F.lit(32767)).alias("bit"))
     out = np.zeros(1 << (bits - 3), np.uint8)
     for row in rows.groupBy("part").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect():
@@ -177,10 +186,51 @@ def _bit_map(keys: DataFrame, bits: int) -> np.ndarray:
 
 
 def _in_map(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys.view(U64) & U64(len(table) * 8 - 1)
+    place = keys.view(U64) >> U64(64 - (len(table) * 8).bit_length() + 1)
     return (table[(place >> U64(3)).astype(np.int64)] >> (place & U64(7)).astype(np.uint8)) & 1 > 0
 
 
+def _repeated_keys(df: DataFrame, width: int, threshold: Threshold, expected: int) -> DataFrame:
+    """Leading bits of the block keys that come more than once, in the place of the key: a column ``key``.
+
+    Most keys come once, and are not worth a row. A task packs the 32 bits after those that tell the segment, sorted,
+    so that a key takes four bytes on its way; a segment's are sorted together, and what comes again is seen. Keys that
+    only begin alike are taken as one that comes again, which costs some rows and loses none. ``expected`` keys set the
+    number of segments, so that each stays within memory; a batch hands on a key twice at most.
+    """
+    bits = max(6, (expected // SEGMENT_KEYS).bit_length())
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = space_split()
+        for batch in batches:
+            memory: set[int] = set()
+            found = []
+            for block in blocks(batch.column(0)):
+                value, bounds = shingle_sets(words(block, table), width)
+                which = _new(set_hashes(value, bounds).view(np.int64), memory)
+                if len(which):
+                    found.append(block_keys(*_chosen(value, bounds, which), threshold)[0] >> U64(32 - bits))
+            if not found:
+                continue
+            lead = np.sort(np.concatenate(found))
+            kept = np.ones(len(lead), bool)
+            kept[2:] = lead[2:] != lead[:-2]
+            lead = lead[kept]
+            ends = np.searchsorted(lead, np.arange((1 << bits) + 1, dtype=U64) << U64(32))
+            some = np.flatnonzero(np.diff(ends))
+            packed = lead.astype("<u4")
+            rows = [packed[ends[k] : ends[k + 1]].tobytes() for k in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(rows, pa.binary())], ["segment", "keys"])
+
+    def repeated(table: pa.Table) -> pa.Table:
+        low = np.sort(np.frombuffer(b"".join(table.column("keys").to_pylist()), "<u4"))
+        again = np.unique(low[1:][low[1:] == low[:-1]]).astype(U64)
+        segment = U64(table.column("segment")[0].as_py())
+        return pa.table({"key": ((segment << U64(32) | again) << U64(32 - bits)).view(np.int64)})
+
+    return df.select("text").mapInArrow(spread, "segment int, keys binary").groupBy("segment").applyInArrow(repeated, "key long")
+
+
 def _block_rows(df: DataFrame, width: int, threshold: Threshold, only=None) -> DataFrame:
     """key and class of the blocks of all sets, or of those whose key is in a broadcast bit map."""
 
@@ -195,7 +245,7 @@ def _block_rows(df: DataFrame, width: int, threshold: Threshold, only=None) -> D
             key, owner = key[kept], owner[kept]
         return {"key": key.view(np.int64), "class": owner}
 
-    return _over_sets(df, width, make, "key long, class long")
+    return _over_sets(df.select("doc_id", "text"), width, make, "key long, class long")
 
 
 def _texts(df: DataFrame, width: int, only) -> DataFrame:
@@ -237,8 +287,8 @@ def _named(classes: DataFrame, name: str) -> DataFrame:
 def _verified(df: DataFrame, pairs: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """The pairs (a, b) of classes of ``df`` that are alike. ``pairs`` is a written table."""
     spark = df.sparkSession
-    named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    only = spark.sparkContext.broadcast(_bit_map(named, MAP_BITS))
+    named = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    only = spark.sparkContext.broadcast(_bit_map(named, _map_bits(named.count())))
     texts = written(_texts(df, width, only))
     for name in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("class").alias(name), F.col("text").alias(f"text_{name}")), name)
@@ -295,24 +345,18 @@ def _cross_pairs(shared: DataFrame, classes: DataFrame, label: DataFrame, thresh
     return met.select("a", "b").distinct()
 
 
-def join(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80, 100)) -> DataFrame:
-    """Groups of alike texts in ``df`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Words are runs of anything but ASCII white space, A-Z as a-z; a text's set has its distinct runs of ``width`` words,
-    or its whole sequence if it has fewer. Texts whose sets are alike are linked, and component_id is the smallest
-    doc_id that links lead to, the row's own included. A text without words, or null, is linked with nothing. A row for
-    each input row; rows with one doc_id and text are copies of each other, and rows without doc_id link like others
-    but give no component_id. Other columns are left out.
-    """
+def _grouped(df: DataFrame, width: int, threshold: Threshold, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows with their class, and classes with their group: its_class, label, component_id."""
     spark = df.sparkSession
-    members = written(_sketched(df, width))
+    members = written(_sketched(df, width, hashed))
     first = [F.first(f"s{k}").alias(f"s{k}") for k in range(SKETCH)]
     classes = members.filter(F.col("class").isNotNull()).groupBy("class")
     classes = written(classes.agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), *first))
 
-    # blocks that more than one row has, as bits; then the rows of those
-    twice = _block_rows(df, width, threshold).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    known = spark.sparkContext.broadcast(_bit_map(twice, MAP_BITS))
+    # blocks that more than one row has, as bits; then the rows of those. A set has up to some two blocks a shingle
+    expected = 2 * (members.agg(F.sum("n_shingles")).first()[0] or 0)
+    twice = written(_repeated_keys(df, width, threshold, expected))
+    known = spark.sparkContext.broadcast(_bit_map(twice, _map_bits(twice.count())))
     rows = written(_block_rows(df, width, threshold, known).distinct())
     several = rows.groupBy(F.col("key").alias("its_key")).agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(rows.join(several, F.col("key") == F.col("its_key")).select("key", "class"))
@@ -325,30 +369,49 @@ def join(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80, 100
 
     labelled = classes.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
     smallest = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    groups = labelled.select(F.col("class").alias("its_class"), "label").join(smallest, "label").select("its_class", "component_id")
+    return members, labelled.select(F.col("class").alias("its_class"), "label").join(smallest, "label").select("its_class", "label", "component_id")
+
+
+def join(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80, 100)) -> DataFrame:
+    """Groups of alike texts in ``df`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Words are runs of anything but ASCII white space, A-Z as a-z; a text's set has its distinct runs of ``width`` words,
+    or its whole sequence if it has fewer. Texts whose sets are alike are linked, and component_id is the smallest
+    doc_id that links lead to, the row's own included. A text without words, or null, is linked with nothing. A row for
+    each input row; rows with one doc_id and text are copies of each other, and rows without doc_id link like others
+    but give no component_id. Other columns are left out.
+    """
+    members, groups = _grouped(df, width, threshold)
+    groups = groups.select("its_class", "component_id")
     joined = members.select("doc_id", "class", "n_shingles").join(groups, F.col("class") == F.col("its_class"), "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
 
 
 def keep_one(df: DataFrame, width: int = 5, threshold: Threshold = Threshold(80, 100)) -> DataFrame:
-    """The rows of ``df``, all columns, but of each group only the one with the smallest doc_id.
+    """The rows of ``df``, all columns, but of each group only one: that with the smallest doc_id, and of several texts
+    of that id the one with the lowest hash.
 
-    Of several rows with one doc_id the one with the lowest text stays. Rows without doc_id stay.
+    Groups are of rows, not of ids: of an id with several texts each goes by its own group. Of rows that are the same in
+    doc_id and text one stays. Rows without doc_id stay, and so do texts without words.
     """
-    found = written(join(df, width, threshold))
-    leave = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("left_id")).distinct()
-    kept = df.join(leave, F.col("doc_id") == F.col("left_id"), "left_anti")
-    again = found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("again_id")).agg(F.count("*").alias("n"))
-    again = written(again.filter("n > 1").select("again_id"))
+    members, groups = _grouped(df, width, threshold, hashed=True)
+    rows = members.filter(F.col("doc_id").isNotNull()).select("doc_id", "text_hash", "class")
+    rows = written(rows.join(groups.select("its_class", "label"), F.col("class") == F.col("its_class"), "left"))
+    grouped = rows.filter(F.col("label").isNotNull()).select("label", F.struct("doc_id", "text_hash").alias("row"))
+    best = grouped.groupBy(F.col("label").alias("its_label")).agg(F.min("row").alias("best"))
+    leave = grouped.join(best, F.col("label") == F.col("its_label")).filter(F.col("row") != F.col("best"))
+    leave = leave.select(F.col("row.doc_id").alias("left_id"), F.col("row.text_hash").alias("left_hash")).distinct()
+    kept = df.join(leave, (F.col("doc_id") == F.col("left_id")) & (F.xxhash64("text") == F.col("left_hash")), "left_anti")
+    again = rows.groupBy(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash")).agg(F.count("*").alias("n"))
+    again = written(again.filter("n > 1").select("again_id", "again_hash"))
     if again.isEmpty():
         return kept
-    # rows that share a doc_id are few or none in a sound table; only they are ranked
-    once = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_anti")
+    # rows that are there several times are few or none in a sound table; only they are gathered
+    same = (F.col("doc_id") == F.col("again_id")) & (F.xxhash64("text") == F.col("again_hash"))
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    repeated = kept.select(F.col("doc_id").alias("own_id"), F.coalesce("text", F.lit("")).alias("own_text"), whole.alias("whole"))
-    repeated = repeated.join(again, F.col("own_id") == F.col("again_id")).groupBy("own_id").agg(F.min_by("whole", "own_text").alias("whole"))
-    return once.unionByName(repeated.select("whole.*"))
+    repeated = kept.join(again, same).groupBy("again_id", "again_hash").agg(F.min_by(whole, F.to_json(whole)).alias("whole"))
+    return kept.join(again, same, "left_anti").unionByName(repeated.select("whole.*"))
 
 
 def sql(width: int, threshold: Threshold) -> str:
