@@ -8,11 +8,11 @@ each other in the text are merged to a span, and a span counts if enough of the
 
 from __future__ import annotations
 
-import string
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.tables import written
+
 #: Words to a run.
 GRAM = 2
 #: Diagonals this close belong together if their hits are at most REACH words apart.
@@ -38,21 +38,39 @@ NOTICES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
     ("reserved", "all rights reserved"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+        "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+        "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",
+    ),
+    (
+        "apache",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "http www apache org licenses license 2 0",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+        "as published by the free software foundation",
+    ),
+    (
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but "
+        "not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ),
 )
 
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_OF_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
-
-def words_of(text: Column) -> Column:
-    """Words of a text with A-Z in lower case; a null text has none."""
-    folded = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(folded, F.lit(_WORD), F.lit(0))
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Runs that all templates may have together: their hashes are a list in the plan, and the templates are broadcast.
+MOST_RUNS = 10_000
 
 
 def template_runs(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """Runs of the templates: template, label, is_base, size (runs in the template), at, run_hash, a, b."""
     rows = []
+    if sum(text.count(" ") for _, text in (*phrases, *notices)) > MOST_RUNS:
+        raise ValueError(f"the templates have more than {MOST_RUNS} runs")
     for number, (label, text) in enumerate((*phrases, *notices)):
         found = text.split()
         for at, (a, b) in enumerate(zip(found, found[1:])):
@@ -61,30 +79,37 @@ def template_runs(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> Data
     return runs.withColumn("run_hash", F.xxhash64("a", "b"))
 
 
-def hits(df: DataFrame, templates: DataFrame) -> DataFrame:
-    """Where texts have runs of templates: doc_id, text_hash, place, and the template's columns."""
-    runs = (
-        df.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
-        .filter(F.size("words") >= GRAM)
-        .select("doc_id", "text_hash", F.posexplode(F.arrays_zip(F.col("words"), F.expr("slice(words, 2, size(words))"))))
-        .select("doc_id", "text_hash", F.col("pos").alias("place"), F.col("col")["words"].alias("w0"), F.col("col")["1"].alias("w1"))
-        .filter(F.col("w1").isNotNull())
-    )
-    # the templates are a fixed list of some hundred runs
-    joined = runs.join(F.broadcast(templates), F.xxhash64("w0", "w1") == F.col("run_hash"))
-    return joined.filter((F.col("w0") == F.col("a")) & (F.col("w1") == F.col("b"))).drop("w0", "w1", "a", "b", "run_hash")
+def runs_of(df: DataFrame, templates: DataFrame) -> DataFrame:
+    """Runs of the texts whose hash some template has: doc_id, text_hash, place, run_hash. A last row of each text, without
+    run_hash, has the number of its words as place. Each text is cut into words once.
 
+    Words are hashed in lower case, which also changes letters beyond ASCII; none of them becomes an ASCII one, as the
+    Kelvin sign is replaced first, so they meet no template's word.
+    """
+    hashes = [row["run_hash"] for row in templates.select("run_hash").distinct().collect()]  # at most MOST_RUNS
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\u212a"), F.lit("\u0138"))
+    words = df.select("doc_id", F.xxhash64("text").alias("text_hash"), F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("words"))
+    runs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.xxhash64(F.lower(a), F.lower(b)))
+    placed = words.select("doc_id", "text_hash", F.posexplode(F.array_append(runs, F.lit(None).cast("long"))).alias("place", "run_hash"))
+    return placed.filter(F.col("run_hash").isNull() | F.col("run_hash").isin(hashes))
 
-def spans(found: DataFrame) -> DataFrame:
+
+def spans(found: DataFrame, longest: int) -> DataFrame:
     """Merge hits to spans: doc_id, text_hash, template, label, is_base, first_word, end_word, share of the template.
 
-    A base phrase needs all its runs on one diagonal; its neighbours aren't merged.
+    The share counts different runs of the template, as bits of masks: one that is found twice is one. ``longest`` is
+    the most runs of a template. A base phrase needs all its runs on one diagonal; its neighbours aren't merged.
     """
     names = ["doc_id", "text_hash", "template", "label", "is_base", "size"]
+    masks = [f"mask{j}" for j in range(longest // 62 + 1)]
+    bit = F.expr("shiftleft(1L, CAST(at % 62 AS INT))")
     diagonals = (
         found.withColumn("diagonal", F.col("place") - F.col("at"))
         .groupBy(*names, "diagonal")
-        .agg(F.countDistinct("place").alias("votes"), F.min("place").alias("low"), F.max("place").alias("high"))
+        .agg(
+            *(F.bit_or(F.when(F.floor(F.col("at") / 62) == j, bit).otherwise(0)).alias(mask) for j, mask in enumerate(masks)),
+            F.min("place").alias("low"), F.max("place").alias("high"),
+        )
     )
     within = Window.partitionBy("doc_id", "text_hash", "template").orderBy("low", "diagonal")
     apart = (
@@ -96,10 +121,10 @@ def spans(found: DataFrame) -> DataFrame:
         diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("apart").over(within.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*names, "span")
-        .agg(F.sum("votes").alias("votes"), F.min("low").alias("first_word"), (F.max("high") + GRAM).alias("end_word"))
-        .withColumn("share", F.least(F.lit(1.0), F.col("votes") / F.col("size")))
+        .agg(*(F.bit_or(mask).alias(mask) for mask in masks), F.min("low").alias("first_word"), (F.max("high") + GRAM).alias("end_word"))
+        .withColumn("share", sum((F.bit_count(mask) for mask in masks), F.lit(0)) / F.col("size"))
     )
-    return merged.filter(F.col("share") >= F.when(F.col("is_base"), 1.0).otherwise(ENOUGH)).drop("size", "span", "votes")
+    return merged.filter(F.col("share") >= F.when(F.col("is_base"), 1.0).otherwise(ENOUGH)).drop("size", "span", *masks)
 
 
 def scan(df: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
@@ -109,8 +134,12 @@ def scan(df: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     A null or empty text has no words and score 0. Rows with a null or repeated doc_id each get their own result.
     Other columns are left out.
     """
-    df = df.select("doc_id", "text")
-    found = spans(hits(df, template_runs(df.sparkSession, phrases, notices)))
+    templates = template_runs(df.sparkSession, phrases, notices)
+    longest = max((text.count(" ") for _, text in (*phrases, *notices)), default=0)
+    runs = written(runs_of(df.select("doc_id", "text"), templates))
+    named = templates.withColumnRenamed("run_hash", "its_hash")
+    found = runs.filter(F.col("run_hash").isNotNull()).join(F.broadcast(named), F.col("run_hash") == F.col("its_hash"))
+    found = spans(found.drop("run_hash", "its_hash", "a", "b"), longest)
     base = F.col("is_base")
     label_if_base = F.when(base, F.col("label"))
     results = (
@@ -124,11 +153,7 @@ def scan(df: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
             F.max("share").alias("score"),
         )
     )
-    counts = df.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD_OF_ANY_CASE)).cast("long").alias("n_words"),
-    )
+    counts = runs.filter(F.col("run_hash").isNull()).select("doc_id", "text_hash", F.col("place").cast("long").alias("n_words"))
     joined = counts.join(results, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("its_hash")), "left")
     return joined.select(
         "doc_id",
@@ -164,7 +189,7 @@ doc_runs AS (
   FROM docs, unnest(range(greatest(len(w) - 1, 0))) AS t(i)),
 diagonals AS (
   SELECT doc_id, template, label, is_base, size, place - spot AS diagonal,
-         count(DISTINCT place) AS votes, min(place) AS low, max(place) AS high
+         min(place) AS low, max(place) AS high
   FROM doc_runs JOIN runs USING (a, b)
   GROUP BY ALL),
 marked AS (
@@ -177,10 +202,12 @@ marked AS (
 numbered AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY low, diagonal
                              ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+hits AS (
+  SELECT doc_id, template, place - spot AS diagonal, spot FROM doc_runs JOIN runs USING (a, b)),
 spans AS (
-  SELECT doc_id, template, label, is_base, min(low) AS first_word, least(1.0, sum(votes)::DOUBLE / size) AS share
-  FROM numbered GROUP BY doc_id, template, label, is_base, size, span
-  HAVING sum(votes)::DOUBLE / size >= CASE WHEN is_base THEN 1.0 ELSE {ENOUGH} END),
+  SELECT doc_id, template, label, is_base, min(low) AS first_word, count(DISTINCT spot)::DOUBLE / size AS share
+  FROM numbered JOIN hits USING (doc_id, template, diagonal) GROUP BY doc_id, template, label, is_base, size, span
+  HAVING count(DISTINCT spot)::DOUBLE / size >= CASE WHEN is_base THEN 1.0 ELSE {ENOUGH} END),
 results AS (
   SELECT doc_id, count(*) FILTER (is_base) AS n_base,
          min(first_word) FILTER (is_base) AS first_word, max(first_word) FILTER (is_base) AS last_word,
