@@ -66,6 +66,7 @@ def test_licenses_of_odd_rows(spark):
         (3, None),
         (None, "under the Apache License, Version 2.0"),
         (4, "Licensed under the Apache quick License, version 2.0"),
+        (6, "rights reserved rights reserved, ALL of them; mit\u0020licen\u017fe, \u212ait"),
         (5, "redistribution and use in source and binary code forms with or without modification are permitted"),
     ]
     df = frame(spark, [(*t, "en", "a", 1) for t in texts])
@@ -76,6 +77,7 @@ def test_licenses_of_odd_rows(spark):
     assert by[3][1:] == (0, 0, None, None, "", "", 0.0)
     assert by[None][2:7] == (1, 2, 2, "apache", "apache")
     assert by[4][2] == 0 and by[4][5:7] == ("", "apache")  # no base phrase, but a notice with a word added
+    assert by[6][1:] == (10, 0, None, None, "", "", 0.0)  # half of a notice twice is half of it
     assert by[5][5:7] == ("", "bsd") and 0.75 <= by[5][7] < 1  # a word added: two neighbouring diagonals
     assert len(licenses.scan(frame(spark)).collect()) == len(odd_rows())
     assert licenses.scan(empty(spark)).count() == 0
@@ -245,7 +247,11 @@ def test_links_of_odd_rows(spark):
     kept = jaccard.keep_one(frame(spark), 3, jaccard.Threshold(90, 100))
     assert kept.columns == frame(spark).columns
     ids = Counter(r["doc_id"] for r in kept.select("doc_id").collect())
-    assert ids == Counter([1, 2, 3, 4, 5, 7, 8, 9, None, None])
+    assert ids == Counter([1, 2, 3, 4, 5, 7, 8, 8, 9, None, None])
+    x, y = "the first text of two that nobody wrote", "another text about nothing that is like the first in no way"
+    rows = [(i, t, "en", "a", 1) for i, t in ((1, x), (3, x), (3, y), (7, y), (7, y))]
+    left = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(frame(spark, rows, clash=False)).collect()]
+    assert sorted(left) == [(1, x), (3, y)]
     with pytest.raises(ValueError):
         jaccard.Threshold(40, 100)
 
