@@ -15,8 +15,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import raw_trips, registered  # noqa: E402
-from tripmart.plans import monthly, reports  # noqa: E402
-from tripmart.schemas import DIM_STATIONS, FACT_RIDES  # noqa: E402
+from tripmart.plans import monthly, reports, rollups, sketches  # noqa: E402
+from tripmart.schemas import AGG_SKETCHES, DIM_STATIONS, FACT_RIDES  # noqa: E402
 from tripmart.sinks import zone_writer  # noqa: E402
 from tripmart.sources import zones  # noqa: E402
 
@@ -52,18 +52,23 @@ def stored(spark: SparkSession, sf_dir: str, timed) -> dict[str, float]:
 
     def load(month: str) -> None:
         monthly.transform_month(spark, lake, run_ts, month)
-        monthly.clear_month(spark, lake, month)
-        monthly.load_star(spark, lake, run_ts, month)
-        monthly.load_rollups(spark, lake, month)
+        changed = monthly.load_star(spark, lake, run_ts, month, replacing=True)
+        monthly.load_rollups(spark, lake, days=changed)
         monthly.require_references(monthly.check_references(spark, lake, month))
 
     load(MONTHS[0])
     seconds = {"month_load": timed(lambda: load(MONTHS[1]))}
     facts = zones.read_table(spark, lake.table("fact_rides"), FACT_RIDES)
     stations = zones.read_table(spark, lake.table("dim_stations"), DIM_STATIONS)
+    kept = zones.read_table(spark, lake.table("agg_sketches"), AGG_SKETCHES)
     frames = {
         "stored_member_distance_kpi": lambda: reports.member_distance_kpi(facts),
         "stored_top_routes": lambda: reports.top_routes(facts, stations),
+        "stored_station_popularity": lambda: reports.station_popularity(facts, stations),
+        "stored_monthly_comparison": lambda: reports.monthly_comparison(facts),
+        "stored_agg_daily_metrics": lambda: rollups.daily_metrics(facts),
+        "stored_agg_user_behavior": lambda: rollups.user_behavior(facts),
+        "stored_sketch_kpi": lambda: sketches.range_kpi(kept),
         "stored_hourly_distribution": lambda: reports.hourly_distribution(facts),
         "stored_one_month": lambda: reports.daily_totals(zones.month_slice(facts, MONTHS[1])),
     }
@@ -102,6 +107,8 @@ def main() -> None:
 
     run("fact_rides")  # starts the JVM's workers and compiles the common stages
     seconds = {name: round(min(run(name), run(name)), 3) for name in HEADLINE}
+    # what the made-up trips cost that most headlines begin with, and the same reports over stored trips
+    seconds["fixture_trips"] = round(min(run("raw_trips"), run("raw_trips")), 3)
     seconds |= {name: round(value, 3) for name, value in stored(spark, sf_dir, timed).items()}
     spark.stop()
     print(
