@@ -47,5 +47,5 @@ def test_registered():
 
     names = contract.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
