@@ -10,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch. Spark's own 10,000 are meant for rows of numbers.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch. Spark's own 10,000 rows are meant for rows of numbers; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -20,6 +20,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it (a cluster ships it with --py-files), and
     hand them texts in batches that are small beside an executor's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     environment = spark.sparkContext.environment
     path = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if _ROOT not in path.split(os.pathsep):
