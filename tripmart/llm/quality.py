@@ -22,6 +22,8 @@ from tripmart.llm.textbytes import U64, Block, alphanumeric, blocks, mix, words
 SAMPLE = 2000
 #: Hashed shapes, latent dimensions, voters, power of the cosine in a vote.
 SHAPES, LATENT, VOTERS, POWER = 1024, 48, 25, 4
+#: Texts whose cosines with all labelled texts are held at once.
+ROWS = 128
 #: Weight of the repetition figures against the shapes.
 REPEATS = 6
 
@@ -145,7 +147,8 @@ def scorer(model: Model):
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            parts = [model.scores(features(block)) for block in blocks(column)]
+            some = (column.slice(at, ROWS) for at in range(0, len(column), ROWS))
+            parts = [model.scores(features(block)) for rows in some for block in blocks(rows)]
             yield pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
     from pyspark.sql.functions import arrow_udf
