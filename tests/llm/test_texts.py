@@ -5,6 +5,7 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -468,3 +469,15 @@ def test_broken_markup_takes_linear_time(spark):
 def test_declared_language(spark, html, lang):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(languages.declared_language(F.col("html"))).first()[0] == lang
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    from tripmart.llm import tables
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(batch)]})
+
+    long = tables.prepared(spark).range(0, 40, numPartitions=1).select(F.repeat(F.lit("a"), 1 << 20).alias("text"))
+    rows = [row["n"] for row in long.mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 40 and max(rows) <= tables.BATCH_BYTES // (1 << 20) + 2
