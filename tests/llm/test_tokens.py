@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.helpers import empty, frame, odd_rows
 from tripmart.llm import bitplanes, bpe, packing
+from tripmart.llm.tables import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -184,6 +185,36 @@ def test_files_of_odd_rows(spark):
     assert bitplanes.round_trip(empty(spark), BYTES).count() == 0
 
 
+def test_one_id_on_all_rows_is_dealt_to_many_tasks(spark):
+    rows = [(5, "copies of one row " * 20, "en", "a", 1)] * 3000 + [(5, f"text {k}", "en", "a", 1) for k in range(3000)]
+    df = frame(spark, rows, clash=False).repartition(8)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        files = bitplanes.write_ids(df, BYTES, shared_folder(spark)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(f["n_docs"] for f in files) == 6000 and len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(f["n_docs"] for f in files) < 3000
+    out = bitplanes.round_trip(df, BYTES).collect()
+    starts = sorted((r["start"], r["n_tokens"]) for r in out)
+    assert len(out) == 6000 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
+def test_copies_of_one_row_are_ranked_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SALT_ROWS", 50)
+    df = frame(spark, [(None, "the same text", "en", "a", 1)] * 2000 + [(None, f"text {k}", "en", "a", 1) for k in range(100)], clash=False)
+    out = packing.pack(df, WORDS, capacity=64).collect()
+    used: dict[int, list] = {}
+    for row in out:
+        used.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+    for places in used.values():
+        places.sort()
+        assert [a for a, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))]
+        assert sum(n for _, n in places) <= 64
+    assert len(out) == 2100 and len(used) == len(naive_best_fit([r["length"] for r in out], 64))
+
+
 def test_letters_that_a_normalizer_takes_apart():
     letters = [chr(c) for c in range(0x30000) if chr(c).isalnum() and not 0xD800 <= c < 0xE000]
     given = [f"a{c}, d a{c}.\nb{c} {c}x. {c}" for c in letters]

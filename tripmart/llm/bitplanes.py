@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from tripmart.llm.tables import shared_folder, written
 
 MAGIC = b"TMBP"
 BLOCK_IDS = 1 << 16
+#: Characters of a text that order the rows of one doc_id.
+HEAD = 64
 _TAIL = struct.Struct("<QQQ4s")
 
 
@@ -151,8 +154,11 @@ class Reader:
 
 def write_ids(df: DataFrame, path: str, folder: str, end: int = 0, kind: str = "byte") -> DataFrame:
     """Write the ids of ``df``'s texts (doc_id, text), each with the id ``end`` after it, as files below ``folder``,
-    in ascending doc_id order, nulls first. A null text is empty. Returns the files in order: path, n_docs, n_tokens,
-    start (ids in all files before).
+    in ascending doc_id order, nulls first; those of one doc_id by the first HEAD characters of their text, then its
+    hash. A null text is empty. Returns the files: path, n_docs, n_tokens, start (ids in all files before).
+
+    Ranges are cut by all these and a number of the row, so rows of one id, or copies of one row, are dealt to as many
+    tasks as they fill, and the keys that Spark samples for it are short.
 
     ``folder`` is a URI that executors reach (a shared file system or an object store). A task writes a file of a new
     name and tells it when done, so files of tasks that were lost or run twice are in no listing.
@@ -160,13 +166,13 @@ def write_ids(df: DataFrame, path: str, folder: str, end: int = 0, kind: str = "
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, top = pyarrow.fs.FileSystem.from_uri(folder)
-        writer, first, tokens = None, None, 0
+        writer, tokens = None, 0
         for batch in batches:
             if writer is None and batch.num_rows:
                 files.create_dir(top, recursive=True)
                 name = f"{uuid.uuid4().hex}.ids"
                 stream = files.open_output_stream(f"{top}/{name}", compression=None)
-                writer, first = Writer(stream, kind), batch.column(0)[0].as_py()
+                writer = Writer(stream, kind)
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 for doc_id, ids in zip(part.column(0).to_pylist(), token_ids(part.column(1), path, True, end)):
@@ -175,15 +181,20 @@ def write_ids(df: DataFrame, path: str, folder: str, end: int = 0, kind: str = "
         if writer is not None:
             writer.close()
             stream.close()
+            place = TaskContext.get().partitionId()  # ranges are numbered in their order
             yield pa.RecordBatch.from_pylist(
-                [{"path": f"{folder}/{name}", "first": first, "n_docs": len(writer.documents), "n_tokens": tokens}], schema=schema
+                [{"path": f"{folder}/{name}", "place": place, "n_docs": len(writer.documents), "n_tokens": tokens}], schema=schema
             )
 
-    schema = pa.schema([("path", pa.string()), ("first", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
-    texts = df.select(df["doc_id"].cast("long").alias("doc_id"), df["text"])
-    ordered = texts.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    files = written(ordered.mapInArrow(write, "path string, first long, n_docs long, n_tokens long"))
-    before = F.sum("n_tokens").over(Window.orderBy(F.col("first").asc_nulls_first())) - F.col("n_tokens")
+    schema = pa.schema([("path", pa.string()), ("place", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+    texts = df.select(
+        df["doc_id"].cast("long").alias("doc_id"), df["text"], F.substring(df["text"], 1, HEAD).alias("head"),
+        F.xxhash64(df["text"]).alias("hash"), F.monotonically_increasing_id().alias("row"),
+    )
+    order = F.col("doc_id").asc_nulls_first(), F.col("head").asc_nulls_first(), F.col("hash"), F.col("row")
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    files = written(ordered.mapInArrow(write, "path string, place long, n_docs long, n_tokens long"))
+    before = F.sum("n_tokens").over(Window.orderBy("place")) - F.col("n_tokens")
     return files.select("path", "n_docs", "n_tokens", before.alias("start"))  # a row for each file
 
 
@@ -214,6 +225,6 @@ def read_ids(files: DataFrame) -> DataFrame:
 def round_trip(df: DataFrame, path: str, end: int = 0, kind: str = "byte", folder: str | None = None) -> DataFrame:
     """Write the ids of ``df`` (doc_id, text) to files and read them back; see ``write_ids`` and ``read_ids``.
 
-    A row for each input row. Of repeated doc_ids, the lower text comes first.
+    A row for each input row.
     """
     return read_ids(write_ids(df, path, folder or shared_folder(df.sparkSession), end, kind))

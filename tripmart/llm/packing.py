@@ -173,10 +173,12 @@ def cut(df: DataFrame, path: str, capacity: int, end: int, spaces: bool = False,
 
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Add sequence_id and offset to rows of doc_id, piece, start, length, ids_crc32.
+    """Add sequence_id and offset to rows of doc_id, piece, start, length, ids_crc32 and ``row``, a number of its own
+    for each row, which is left out.
 
     ``pieces`` is read several times, so it should be a written table. Every row gets a place, repeated rows and
-    null ids too; an empty table gives an empty one.
+    null ids too; an empty table gives an empty one. Rows are dealt by their number, so an id or a text that many
+    rows share fills no task.
     """
     spark = pieces.sparkSession
     counts = {row["length"]: row["n"] for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -185,7 +187,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
         plan(counts, capacity),
         "run_length long, first_rank long, end_rank long, first_sequence long, per_sequence long, run_offset long",
     )
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
     before = (
         salted.groupBy("length", "salt")
         .agg(F.count("*").alias("n"))
@@ -196,7 +198,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
         )
     )
     ranked = salted.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
+        "rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32", "row")) - 1
     )
     ranked = ranked.join(before, (F.col("length") == F.col("salt_length")) & (F.col("salt") == F.col("its_salt")))
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
@@ -208,7 +210,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     )
     nth = F.col("rank") - F.col("first_rank")
     return placed.select(
-        *pieces.columns,
+        *(x for x in pieces.columns if x != "row"),
         (F.col("first_sequence") + F.floor(nth / F.col("per_sequence"))).cast("long").alias("sequence_id"),
         (F.col("run_offset") + (nth % F.col("per_sequence")) * F.col("length")).alias("offset"),
     )
@@ -220,7 +222,8 @@ def pack(df: DataFrame, path: str, capacity: int = 4096, end: int = 1, spaces: b
     ``path`` is a file of the tokenizers library; ``spaces`` says whether its tokens hold spaces. A null or empty
     text is the id ``end`` alone. Longer documents are cut; nothing else is. Columns other than the two are left out.
     """
-    return place(written(cut(df, path, capacity, end, spaces)), capacity)
+    pieces = cut(df, path, capacity, end, spaces).withColumn("row", F.monotonically_increasing_id())
+    return place(written(pieces), capacity)
 
 
 def sequences(df: DataFrame, packed: DataFrame, path: str, capacity: int = 4096, end: int = 1, spaces: bool = False) -> DataFrame:
