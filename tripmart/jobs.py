@@ -71,6 +71,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.appName(f"tripmart-{options.step}")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # see zones.with_compiled_steps
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -22,6 +22,15 @@ from tripmart.functions import periods, trip
 from tripmart.schemas import DAY_FOLDERS
 
 
+def with_compiled_steps(spark: SparkSession) -> SparkSession:
+    """Let Spark generate the steps of a plan one by one where all of them would make a method of over 8000 bytes.
+
+    The JVM never compiles such a method: every row is interpreted, which took three times as long for the raw trips.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def with_load_date(trips: DataFrame) -> DataFrame:
     return trips.withColumn("dt", trip.load_date("started_at"))
 
