@@ -5,7 +5,7 @@ from tests.conftest import SMALL
 from tests.llm.helpers import frame
 from tests.llm.test_texts import groups
 from tripmart.llm import privacy, quality
-from tripmart.llm.tables import read, written
+from tripmart.llm.tables import WORKER_MEMORY, prepared, read, written
 
 
 def test_stages_apply_their_decisions(spark):
@@ -49,3 +49,16 @@ def test_registered():
     assert "pipeline" in names
     for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
+
+
+def test_workers_give_memory_back(spark):
+    def settings(batches):
+        import os
+
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"name": list(WORKER_MEMORY), "value": [os.environ.get(x) for x in WORKER_MEMORY]})
+
+    found = prepared(spark).range(1, numPartitions=1).mapInArrow(settings, "name string, value string").collect()
+    assert {row.name: row.value for row in found} == WORKER_MEMORY
