@@ -11,12 +11,12 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tripmart.llm.pieces import PieceCache
+from tripmart.llm.workers import kept, task
 
 
 class Vocabulary:
@@ -180,7 +180,7 @@ class Encoder:
         return b"".join(map(self._bytes.__getitem__, decimal.split(b","))) if decimal else b""
 
 
-@lru_cache(maxsize=2)
+@kept(2)
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker, so that its pieces serve all tasks there."""
     return Encoder(Vocabulary.from_file(path), pattern)
@@ -211,4 +211,4 @@ def round_trip(df: DataFrame, path: str, pattern: str, whole: bool = True) -> Da
     types = [pa.int64(), pa.string(), pa.string()] + [pa.string(), pa.binary()] * whole
     kind = df.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded binary" * whole
-    return df.select(df["doc_id"], df["text"]).mapInArrow(encode, schema)
+    return df.select(df["doc_id"], df["text"]).mapInArrow(task(encode, encoder), schema)

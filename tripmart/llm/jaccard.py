@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import components
 from tripmart.llm.tables import written
 from tripmart.llm.textbytes import U64, blocks, mix, shingle_sets, space_split, words
+from tripmart.llm.workers import task
 
 #: Longs of a short sketch.
 SKETCH = 8
@@ -139,7 +140,7 @@ def _over_sets(df: DataFrame, width: int, make: Callable, schema: str) -> DataFr
                 if made:
                     yield pa.RecordBatch.from_pydict(made)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task(run), schema)
 
 
 def _sketched(df: DataFrame, width: int, hashed: bool) -> DataFrame:
@@ -228,7 +229,7 @@ def _repeated_keys(df: DataFrame, width: int, threshold: Threshold, expected: in
         segment = U64(table.column("segment")[0].as_py())
         return pa.table({"key": ((segment << U64(32) | again) << U64(32 - bits)).view(np.int64)})
 
-    return df.select("text").mapInArrow(spread, "segment int, keys binary").groupBy("segment").applyInArrow(repeated, "key long")
+    return df.select("text").mapInArrow(task(spread), "segment int, keys binary").groupBy("segment").applyInArrow(repeated, "key long")
 
 
 def _block_rows(df: DataFrame, width: int, threshold: Threshold, only=None) -> DataFrame:
@@ -267,7 +268,7 @@ def _texts(df: DataFrame, width: int, only) -> DataFrame:
                     texts = batch.column(0).take(pa.array(which + block.first))
                     yield pa.RecordBatch.from_arrays([pa.array(classes[which]), texts], ["class", "text"])
 
-    found = df.select("text").mapInArrow(run, "class long, text string")
+    found = df.select("text").mapInArrow(task(run), "class long, text string")
     return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
@@ -308,7 +309,7 @@ def _verified(df: DataFrame, pairs: DataFrame, width: int, threshold: Threshold)
                 alike.append(threshold.whole * both >= threshold.part * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
-    return written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long"))
+    return written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(task(check), "a long, b long"))
 
 
 def _star_pairs(shared: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:

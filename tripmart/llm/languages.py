@@ -20,6 +20,7 @@ from pyspark.sql.functions import arrow_udf
 
 from tripmart.llm.textbytes import U64, Block, blocks, fold, mix
 from tripmart.llm.tables import written
+from tripmart.llm.workers import task
 
 #: Texts of each language that the text model is fitted on, at most.
 SAMPLE = 400
@@ -88,7 +89,7 @@ def fit_text(documents: DataFrame, sample: int = SAMPLE) -> TextModel:
                     columns = [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
-    rows = texts.select("text", "lang").mapInArrow(count, "lang string, bucket int, n long")
+    rows = texts.select("text", "lang").mapInArrow(task(count), "lang string, bucket int, n long")
     counts: dict[str, np.ndarray] = {}
     for row in rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
         counts.setdefault(row["lang"], np.zeros(BUCKETS))[row["bucket"]] = row["n"]
@@ -108,7 +109,7 @@ def text_evidence(model: TextModel):
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1)), mask=pa.array(none))
 
     evidence.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(evidence, "array<double>")
+    return arrow_udf(task(evidence), "array<double>")
 
 
 # Markup and addresses -------------------------------------------------------------------------------------------

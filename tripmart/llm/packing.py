@@ -13,7 +13,6 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.pieces import PieceCache
 from tripmart.llm.tables import written
+from tripmart.llm.workers import kept, task
 
 #: Pieces of one length and salt are ranked in one task; a salt has about so many pieces in all.
 SALT_ROWS = 100_000
@@ -132,7 +132,7 @@ class Batch:
         return [found[x] for x in texts]
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def _ids_of(path: str, spaces: bool) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
     from tokenizers import Tokenizer
@@ -169,7 +169,7 @@ def cut(df: DataFrame, path: str, capacity: int, end: int, spaces: bool = False,
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + keep_ids]
     kind = df.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
-    return df.select(df["doc_id"], df["text"]).mapInArrow(pieces, schema)
+    return df.select(df["doc_id"], df["text"]).mapInArrow(task(pieces, _ids_of), schema)
 
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
@@ -183,10 +183,10 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     spark = pieces.sparkSession
     counts = {row["length"]: row["n"] for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = max(1, sum(counts.values()) // SALT_ROWS)
-    runs = spark.createDataFrame(
-        plan(counts, capacity),
-        "run_length long, first_rank long, end_rank long, first_sequence long, per_sequence long, run_offset long",
-    )
+    names = ["run_length", "first_rank", "end_rank", "first_sequence", "per_sequence", "run_offset"]
+    # as an Arrow table, which no Python workers turn into rows
+    columns = np.array(plan(counts, capacity), np.int64).reshape(-1, len(names)).T
+    runs = spark.createDataFrame(pa.table([pa.array(x) for x in columns], names))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
     before = (
         salted.groupBy("length", "salt")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.textbytes import U64, Block, alphanumeric, blocks, mix, words
+from tripmart.llm.workers import task
 
 #: Labelled texts of each label that the model is fitted on, at most. This bounds the model and what fitting collects.
 SAMPLE = 2000
@@ -133,7 +134,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([columns[0], columns[1].cast(pa.int32()), rows], ["doc_id", "quality", "features"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", "text", "quality").mapInArrow(describe, f"doc_id {kind}, quality int, features binary")
+    rows = texts.select("doc_id", "text", "quality").mapInArrow(task(describe), f"doc_id {kind}, quality int, features binary")
     rows = sorted(rows.dropDuplicates().collect(), key=lambda row: (row["doc_id"], row["features"]))
     if not rows:
         none = np.zeros((0, LATENT))
@@ -154,7 +155,7 @@ def scorer(model: Model):
     from pyspark.sql.functions import arrow_udf
 
     score.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(score, "double")
+    return arrow_udf(task(score), "double")
 
 
 def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: float = 0.3) -> DataFrame:
