@@ -74,3 +74,17 @@ def test_long_generated_methods_are_split(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     Q.raw_trips(spark, SMALL)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+@pytest.mark.parametrize("name", ["kpi_pivot", "member_distance_kpi", "member_insights", "member_vs_casual"])
+def test_rides_of_the_kpi_report_are_computed_once(spark, monkeypatch, name):
+    """Both passes of the report read written rides; neither cleans the raw trips again."""
+    given, report = [], Q.reports.member_distance_kpi
+
+    def noted(rides):
+        given.append(_reads_events(rides))
+        return report(rides)
+
+    monkeypatch.setattr(Q.reports, "member_distance_kpi", noted)
+    QUERIES[name](spark, SMALL)
+    assert given == [False]
