@@ -5,6 +5,7 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -237,6 +238,61 @@ def test_links_as_all_pairs(spark, width, part):
     assert out == groups(rows, width, part, 100)
 
 
+def test_long_texts_with_little_in_common_are_not_compared(spark, monkeypatch):
+    """Texts that share a passage, and families that are just not alike enough, long and short: few pairs come to
+    their texts, and all links are found."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = fresh(60)
+    rows = [(k, " ".join([*fresh(700), *passage, *fresh(700)])) for k in range(40)]
+    for words in (1500, 5000):
+        base = fresh(words)
+        for _ in range(12):
+            at = rng.randrange(words * 7 // 10)
+            rows.append((len(rows), " ".join([*base[:at], *fresh(words * 3 // 10), *base[at + words * 3 // 10 :]])))
+        rows += [(len(rows) + k, " ".join([*base[:-5], *fresh(5)])) for k in range(3)]
+    compared = []
+
+    def counted(df, pairs, width, threshold, verified=jaccard._verified):
+        compared.append(pairs.count())
+        return verified(df, pairs, width, threshold)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    df = frame(spark, [(i, t, "en", "a", 1) for i, t in rows])
+    out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert out == groups(rows, 5, 80, 100)
+    assert sum(compared) < 40
+
+
+@pytest.mark.parametrize("part", [50, 80, 90])
+def test_spared_keys_lose_no_alike_sets(part):
+    threshold = jaccard.Threshold(part, 100)
+    rng = np.random.default_rng(part)
+    for size in [1, 2, 3, 5, 8, 9, 16, 17, 31, 33, 64, 100, 129, 500, 1000, 1025, 3000] * 3:
+        whole = rng.integers(0, 2**63, size, dtype=np.uint64)
+        # as far apart as alike sets can be, by what one lacks, or both
+        lack = size * (100 - part) // 100
+        cut = int(rng.integers(0, lack + 1))
+        sets = [np.sort(whole[cut:]), np.sort(whole[: size - (lack - cut)])]
+        bounds = np.cumsum([0, *map(len, sets)])
+        key, owner, band, spare = jaccard.block_keys(np.concatenate(sets), bounds, threshold)
+        assert len(key) == len(owner) == len(band) == len(spare)
+        kept = []
+        for k in (0, 1):
+            own = []
+            for b in set(band[owner == k].tolist()):
+                here = np.flatnonzero((owner == k) & (band == b))
+                assert len(set(spare[here].tolist())) == 1 and spare[here[0]] < len(here)
+                own += np.sort(key[here])[: len(here) - spare[here[0]]].tolist()
+            kept.append(set(own))
+        assert kept[0] & kept[1]
+        sketch = [np.array(x) for x in jaccard.short_sketches(np.concatenate(sets), bounds, threshold).to_pylist()]
+        assert {len(x) for x in sketch} <= {len(sketch[0]), 2 * len(sketch[0]), len(sketch[0]) // 2}
+        least = min(map(len, sketch))
+        x, y = (np.bitwise_xor.reduce(x.reshape(-1, least)) for x in sketch)
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64).tolist()) <= lack
+
+
 def test_links_of_odd_rows(spark):
     out = jaccard.join(frame(spark), 3, jaccard.Threshold(90, 100)).collect()
     found = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out)

@@ -3,9 +3,10 @@
 A parity sketch has a bit for each place a shingle's hash can point to, and each shingle of a set flips its bit. The
 bits that differ between the sketches of two sets are at most the shingles that only one of them has. For sets of about
 one size, the Jaccard threshold bounds those by a number k. So if the sketch is cut into more than k blocks, two alike
-sets have a block in which they don't differ: the pigeonhole principle. Blocks are joined by their contents, once for
-each band of sizes and once for each border between two, and what meets there is verified: by the Hamming distance of
-short sketches, and then by the sets.
+sets have a block in which they don't differ: the pigeonhole principle. With some blocks more, they have several, so a
+set can leave out its most usual ones but for one less than those. Blocks are joined by their contents, once for each
+band of sizes and once for each border between two, and what meets there is verified: by the Hamming distance of short
+sketches, which are longer for larger sets, and then by the sets.
 
 Sets that are equal are one class from the start. Of the classes that share blocks, each is first compared with a few
 of them, which finds most groups. What is left, classes that share a block but no group, is compared pair by pair. So
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm import components
@@ -27,8 +28,10 @@ from tripmart.llm.tables import written
 from tripmart.llm.textbytes import U64, blocks, mix, shingle_sets, space_split, words
 from tripmart.llm.workers import task
 
-#: Longs of a short sketch.
-SKETCH = 8
+#: Longs of a short sketch, for small sets and at most. Between, it has BITS_APART bits or more for each shingle that one
+#: of two alike sets can have alone: with few, sets that are far from alike seem alike.
+SKETCH, LONGEST_SKETCH = 8, 128
+BITS_APART = 4
 #: Keys that are remembered have a bit each in a map of at least so many bits a key, and of 2**LEAST_BITS to 2**MOST_BITS
 #: in all. Where two fall on one bit, more rows are joined; none is missed.
 BITS_A_KEY, LEAST_BITS, MOST_BITS = 12, 20, 30
@@ -71,16 +74,21 @@ class Threshold:
             yield 2 * (top + shift) + border, count, apart
 
 
-def block_keys(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the blocks of each set's sketch, and the number of the set. ``value`` and ``bounds`` as of shingle_sets.
+def block_keys(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, ...]:
+    """Keys of the blocks of each set's sketch, the number of the set, the band, and how many keys the set can spare in
+    it. ``value`` and ``bounds`` as of shingle_sets.
 
     The sketch of a band has a range of 64-bit hashes in each block, so a block's set bits are its shingles' hashes,
     and their exclusive or stands for them. A block with none has a key only if a set could have no other block in
     common with one that is alike.
+
+    Alike sets have ``count - apart`` blocks in common, so at least as many keys as those are more than either's empty
+    blocks. If each leaves out the last of its keys in an order of all keys, one fewer than that, the first key that
+    they have in common stays in both.
     """
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
-    keys, owners = [], []
+    keys, owners, bands, spares = [], [], [], []
     for band, count, apart in threshold.block_counts(size):
         used = np.flatnonzero(count[row] > 0)
         if not len(used):
@@ -96,13 +104,18 @@ def block_keys(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> t
         keys.append(mix(content ^ place))
         owners.append(owner[at])
         filled = np.bincount(owner[at], minlength=len(size))
+        spare = np.maximum(filled - apart - 1, 0)
+        bands.append(band[owner[at]])
+        spares.append(spare[owner[at]])
         for k in np.flatnonzero((count > 0) & (count - filled >= count - apart)):
             empty = np.setdiff1d(np.arange(count[k], dtype=U64), block[at][owner[at] == k])
             keys.append(mix(mix(empty + (U64(band[k]) << U64(40)))))
             owners.append(np.full(len(empty), k))
+            bands.append(np.full(len(empty), band[k]))
+            spares.append(np.zeros(len(empty), np.int64))
     if not keys:
-        return np.empty(0, U64), np.empty(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        return np.empty(0, U64), *[np.empty(0, np.int64)] * 3
+    return tuple(np.concatenate(x) for x in (keys, owners, bands, spares))
 
 
 def set_hashes(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -116,13 +129,18 @@ def set_hashes(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def short_sketches(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parity sketches of SKETCH longs: a row for each set."""
-    sets, bits = len(bounds) - 1, 64 * SKETCH
-    row = np.repeat(np.arange(sets), np.diff(bounds))
-    bit = (mix(value + U64(0x2545F4914F6CDD1D)) % U64(bits)).astype(np.int64)
-    odd = (np.bincount(row * bits + bit, minlength=sets * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(sets, bits), axis=1, bitorder="little").view(np.int64)
+def short_sketches(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> pa.ListArray:
+    """Parity sketches: for each set a list of longs, a power of two of them by the set's size. Sets of which one is at
+    most twice as large as the other have sketches of one length or of twice the other's."""
+    size = np.diff(bounds)
+    a_shingle = BITS_APART * 2 * (threshold.whole - threshold.part) / (threshold.whole + threshold.part) / 64
+    top = np.ceil(np.log2(np.maximum(size, 1))) + (np.ceil(np.log2(a_shingle)) if a_shingle else 0)
+    longs = np.clip(2.0**top, SKETCH, LONGEST_SKETCH).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(longs)])
+    row = np.repeat(np.arange(len(size)), size)
+    bit = (mix(value + U64(0x2545F4914F6CDD1D)) % (64 * longs[row]).astype(U64)).astype(np.int64)
+    odd = (np.bincount(64 * ends[row] + bit, minlength=64 * ends[-1]) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.packbits(odd, bitorder="little").view(np.int64)))
 
 
 def _over_sets(df: DataFrame, width: int, make: Callable, schema: str) -> DataFrame:
@@ -143,19 +161,17 @@ def _over_sets(df: DataFrame, width: int, make: Callable, schema: str) -> DataFr
     return df.mapInArrow(task(run), schema)
 
 
-def _sketched(df: DataFrame, width: int, hashed: bool) -> DataFrame:
-    """doc_id, class (null for an empty set), n_shingles, s0 ...: the short sketch, and the text's hash if asked for."""
+def _sketched(df: DataFrame, width: int, threshold: Threshold, hashed: bool) -> DataFrame:
+    """doc_id, class (null for an empty set), n_shingles, sketch, and the text's hash if asked for."""
 
     def make(rows, value, bounds, classes, _):
-        sketch = short_sketches(value, bounds)
         columns = {"doc_id": rows.column(0), "class": pa.array(classes, mask=classes == 0), "n_shingles": np.diff(bounds)}
-        columns |= {f"s{k}": np.ascontiguousarray(sketch[:, k]) for k in range(SKETCH)}
+        columns["sketch"] = short_sketches(value, bounds, threshold)
         return columns | ({"text_hash": rows.column(2)} if hashed else {})
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    sketch = "".join(f", s{k} long" for k in range(SKETCH)) + ", text_hash long" * hashed
     texts = df.select("doc_id", "text", *[F.xxhash64("text").alias("text_hash")] * hashed)
-    return _over_sets(texts, width, make, f"doc_id {kind}, class long, n_shingles long{sketch}")
+    return _over_sets(texts, width, make, f"doc_id {kind}, class long, n_shingles long, sketch array<long>{', text_hash long' * hashed}")
 
 
 def _new(classes: np.ndarray, memory: set[int]) -> np.ndarray:
@@ -233,20 +249,32 @@ def _repeated_keys(df: DataFrame, width: int, threshold: Threshold, expected: in
 
 
 def _block_rows(df: DataFrame, width: int, threshold: Threshold, only=None) -> DataFrame:
-    """key and class of the blocks of all sets, or of those whose key is in a broadcast bit map."""
+    """key, class, band and spare of the blocks of all sets, or of those whose key is in a broadcast bit map."""
 
     def make(_, value, bounds, classes, memory):
         which = _new(classes, memory)
         if not len(which):
             return None
-        key, owner = block_keys(*_chosen(value, bounds, which), threshold)
+        key, owner, band, spare = block_keys(*_chosen(value, bounds, which), threshold)
         owner = classes[which][owner]
         if only is not None:
             kept = _in_map(only.value, key)
-            key, owner = key[kept], owner[kept]
-        return {"key": key.view(np.int64), "class": owner}
+            key, owner, band, spare = key[kept], owner[kept], band[kept], spare[kept]
+        return {"key": key.view(np.int64), "class": owner, "band": band.astype(np.int32), "spare": spare.astype(np.int32)}
 
-    return _over_sets(df.select("doc_id", "text"), width, make, "key long, class long")
+    return _over_sets(df.select("doc_id", "text"), width, make, "key long, class long, band int, spare int")
+
+
+def _shared_blocks(rows: DataFrame) -> DataFrame:
+    """key and class of the blocks that several classes have, but for the most usual that a class can spare.
+
+    What many texts have, such as a line or passage, is in the blocks that most classes share; those are left out where
+    alike classes share others too. All classes order their keys alike, as ``block_keys`` asks for.
+    """
+    several = rows.groupBy(F.col("key").alias("its_key")).agg(F.count("*").alias("n")).filter("n > 1")
+    most_usual = Window.partitionBy("class", "band").orderBy(F.desc("n"), F.desc("key"))
+    shared = rows.join(several, F.col("key") == F.col("its_key")).withColumn("place", F.row_number().over(most_usual))
+    return shared.filter(F.col("place") > F.col("spare")).select("key", "class")
 
 
 def _texts(df: DataFrame, width: int, only) -> DataFrame:
@@ -273,16 +301,20 @@ def _texts(df: DataFrame, width: int, only) -> DataFrame:
 
 
 def _may_be_alike(a: str, b: str, threshold: Threshold) -> Column:
-    """Sizes and short sketches of two classes allow that they are alike."""
-    sizes = F.col(f"{a}_n") + F.col(f"{b}_n")
-    apart = sum((F.bit_count(F.col(f"{a}_s{k}").bitwiseXOR(F.col(f"{b}_s{k}"))) for k in range(SKETCH)), F.lit(0))
-    fits = F.least(f"{a}_n", f"{b}_n") * threshold.whole >= F.greatest(f"{a}_n", f"{b}_n") * threshold.part
-    return fits & (apart * (threshold.whole + threshold.part) <= sizes * (threshold.whole - threshold.part))
+    """Sizes and short sketches of two classes, aliased so, allow that they are alike."""
+    n, m, x, y = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles"), F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    length = F.least(F.size(x), F.size(y))
 
+    def folded(sketch: Column) -> Column:
+        # bits of a sketch twice as long, each with the one that shares its place in a short one
+        return F.when(F.size(sketch) == length, sketch).otherwise(
+            F.zip_with(F.slice(sketch, 1, length), F.slice(sketch, length + 1, length), lambda p, q: p.bitwiseXOR(q))
+        )
 
-def _named(classes: DataFrame, name: str) -> DataFrame:
-    sketch = [F.col(f"s{k}").alias(f"{name}_s{k}") for k in range(SKETCH)]
-    return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(f"{name}_n"), *sketch)
+    differ = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, bits: total + bits)
+    fits = F.least(n, m) * threshold.whole >= F.greatest(n, m) * threshold.part
+    return fits & (apart * (threshold.whole + threshold.part) <= (n + m) * (threshold.whole - threshold.part))
 
 
 def _verified(df: DataFrame, pairs: DataFrame, width: int, threshold: Threshold) -> DataFrame:
@@ -324,8 +356,8 @@ def _star_pairs(shared: DataFrame, classes: DataFrame, threshold: Threshold) ->
     centre = F.col("first").bitwiseXOR(F.shiftleft(F.col("key"), 62))
     pairs = pairs.select(F.least("class", centre).alias("a"), F.greatest("class", centre).alias("b"))
     pairs = pairs.filter(F.col("a") != F.col("b")).distinct()
-    joined = pairs.join(_named(classes, "a"), "a").join(_named(classes, "b"), "b")
-    return joined.filter(_may_be_alike("a", "b", threshold)).select("a", "b")
+    joined = pairs.join(classes.alias("x"), F.col("a") == F.col("x.class")).join(classes.alias("y"), F.col("b") == F.col("y.class"))
+    return joined.filter(_may_be_alike("x", "y", threshold)).select("a", "b")
 
 
 def _cross_pairs(shared: DataFrame, classes: DataFrame, label: DataFrame, threshold: Threshold) -> DataFrame:
@@ -335,35 +367,33 @@ def _cross_pairs(shared: DataFrame, classes: DataFrame, label: DataFrame, thresh
     # only blocks with several labels
     mixed = rows.groupBy(F.col("key").alias("its_key")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
     rows = rows.join(mixed.filter(F.col("low") < F.col("high")), F.col("key") == F.col("its_key")).select("key", "class", "label")
-    rows = written(rows)
-    left = rows.select("key", F.col("label").alias("label_a"), F.col("class").alias("a")).join(_named(classes, "a"), "a")
-    right = rows.select(F.col("key").alias("key_b"), F.col("label").alias("label_b"), F.col("class").alias("b")).join(_named(classes, "b"), "b")
-    met = left.join(
-        right,
-        (F.col("key") == F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & (F.col("a") < F.col("b"))
-        & _may_be_alike("a", "b", threshold),
+    # both sides are the same rows, so that they move once
+    rows = written(rows).join(classes, "class").select("key", "label", "class", "n_shingles", "sketch")
+    met = rows.alias("x").join(
+        rows.alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.class") < F.col("y.class"))
+        & _may_be_alike("x", "y", threshold),
     )
-    return met.select("a", "b").distinct()
+    return met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
 
 
 def _grouped(df: DataFrame, width: int, threshold: Threshold, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows with their class, and classes with their group: its_class, label, component_id."""
     spark = df.sparkSession
-    members = written(_sketched(df, width, hashed))
-    first = [F.first(f"s{k}").alias(f"s{k}") for k in range(SKETCH)]
+    members = written(_sketched(df, width, threshold, hashed))
     classes = members.filter(F.col("class").isNotNull()).groupBy("class")
-    classes = written(classes.agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), *first))
+    classes = written(classes.agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
 
     # blocks that more than one row has, as bits; then the rows of those. A set has up to some two blocks a shingle
     expected = 2 * (members.agg(F.sum("n_shingles")).first()[0] or 0)
     twice = written(_repeated_keys(df, width, threshold, expected))
     known = spark.sparkContext.broadcast(_bit_map(twice, _map_bits(twice.count())))
     rows = written(_block_rows(df, width, threshold, known).distinct())
-    several = rows.groupBy(F.col("key").alias("its_key")).agg(F.count("*").alias("n")).filter("n > 1")
-    shared = written(rows.join(several, F.col("key") == F.col("its_key")).select("key", "class"))
+    shared = written(_shared_blocks(rows))
+    sketches = written(classes.select("class", "n_shingles", "sketch").join(shared.select("class").distinct(), "class", "left_semi"))
 
-    label = components.labels(_verified(df, written(_star_pairs(shared, classes, threshold)), width, threshold))
-    left = written(_cross_pairs(shared, classes, label, threshold))
+    label = components.labels(_verified(df, written(_star_pairs(shared, sketches, threshold)), width, threshold))
+    left = written(_cross_pairs(shared, sketches, label, threshold))
     if not left.isEmpty():
         more = _verified(df, left, width, threshold)
         label = components.labels(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
