@@ -90,3 +90,13 @@ def test_flushes_count_alike():
     found = {chunk: (dict(zip(sources, counts)), *rest) for chunk, sources, counts, *rest in zip(*chunks[1:])}
     assert found == {b"a": ({"s": 3, "t": 1, None: 0}, 2, 0, 1), b"b": ({"s": 1, "t": 1, None: 0}, 2, 0, 2), b"c": ({"t": 1, None: 0}, 1, 1, 1)}
     assert groups == [["en"], [None], [["s", "t"]], [[0, 0]], [0], [None], [None]]
+
+
+def test_tasks_count_terms(spark):
+    """What stands beside a term makes no rows of its own, and no other byte is taken for a letter or a space."""
+    rows = [(1, 'Word, word. (WORD) "word" word-word\x1cword\x7fword', "en", "a", 1), (2, "É é\xa0é\u3000@[`{ÀZ", "en", "a", 1)]
+    found = {bytes(r["chunk"]).decode(): (r["counts"], r["n_documents"]) for r in divergence.count_chunks(frame(spark, rows)).collect() if r["chunk"]}
+    assert found == {"word": ([8, 0], 1), "É": ([1, 0], 1), "é\xa0é\u3000": ([1, 0], 1), "Àz": ([1, 0], 1)}
+    known = set("".join(map(chr, range(0x250))))
+    for letter in known:
+        assert (letter.encode().translate(divergence._TERM_BYTES).split() != []) == bool(re.fullmatch(divergence.TERM, letter))

@@ -1,9 +1,8 @@
 """How sources of a language differ in their words: each source against each other, and against the language.
 
-White space never lies within a term, so a text is factored into chunks between white space. Tasks count chunks, not
-terms: how often each stands in a (lang, source) group, and which documents have it, as many as tell whether a term is
-kept. Chunks are few beside their occurrences; each distinct one of the whole corpus is cut into terms once, and its
-terms are joined back to the counts. What follows works on terms by group, not on texts.
+In UTF-8 a term ends at any ASCII byte but a letter, so a text with those made spaces is cut at its spaces into terms.
+Tasks count chunks of the text so made, which are terms: how often each stands in a (lang, source) group, and how many
+documents have it. Terms are few beside their occurrences; those that too few documents have go where counts first meet.
 
 Counts are compared as integer shares of 10**9, each kept term counted once more than it occurs.
 """
@@ -31,6 +30,8 @@ HELD, CELLS = 1_000_000, 1 << 20
 _SMALL = (2**63 - 1) // SCALE - 1
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of texts with A-Z as a-z, and a space for what no term has.
+_TERM_BYTES = bytes(k if k >= 128 or 97 <= k <= 122 else k + 32 if 65 <= k <= 90 else 32 for k in range(256))
 
 
 # Counting -------------------------------------------------------------------------------------------------------
@@ -47,8 +48,7 @@ class ChunkCounts:
         self.enough: dict[str, set[bytes]] = {}
 
     def add(self, number: int, lang: str, source: str, text: bytes) -> None:
-        # bytes.lower and bytes.split know ASCII only, as terms do
-        chunks = text.lower().split()
+        chunks = text.translate(_TERM_BYTES).split()
         self.counts.setdefault((lang, source), Counter()).update(chunks)
         known, enough = self.documents.setdefault(lang, {}), self.enough.setdefault(lang, set())
         for chunk in set(chunks) - enough:
@@ -88,8 +88,8 @@ class ChunkCounts:
 
 
 def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """What tasks count in ``documents`` (text, lang, source; nulls are empty): lang, chunk, sources, counts, n_documents,
-    low, high. Rows of one language and chunk never speak of the same document."""
+    """What tasks count in ``documents`` (text, lang, source; nulls are empty): lang, chunk, sources, counts, n_documents.
+    Rows of one language and chunk never speak of the same document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = ChunkCounts(least)
@@ -97,7 +97,7 @@ def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFram
 
         def handed() -> Iterator[pa.RecordBatch]:
             for columns in held.columns():
-                whole = pa.RecordBatch.from_arrays(columns, schema=schema)
+                whole = pa.RecordBatch.from_arrays(columns[: len(schema)], schema=schema)
                 for at in range(0, whole.num_rows, 20_000):
                     yield whole.slice(at, 20_000)
 
@@ -111,43 +111,29 @@ def count_chunks(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFram
         yield from handed()
 
     lists = [("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
-    schema = pa.schema([("lang", pa.string()), ("chunk", pa.binary()), *lists, *((x, pa.int64()) for x in ("n_documents", "low", "high"))])
+    schema = pa.schema([("lang", pa.string()), ("chunk", pa.binary()), *lists, ("n_documents", pa.int64())])
     rows = documents.select(*(F.coalesce(documents[x], F.lit("")).cast(kind).alias(x) for x, kind in (("text", "binary"), ("lang", "string"), ("source", "string"))))
-    return rows.mapInArrow(run, "lang string, chunk binary, sources array<string>, counts array<long>, n_documents long, low long, high long")
+    return rows.mapInArrow(run, "lang string, chunk binary, sources array<string>, counts array<long>, n_documents long")
 
 
 def kept_counts(documents: DataFrame, least: int = LEAST_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Occurrences of kept terms by group: lang, source, term, count; and all groups: lang, source.
 
-    A chunk that ``least`` documents have needs no more about them. One with fewer, one or two, has no others than its
-    first and its last, so those tell the documents of a term that only stands in such chunks.
+    A task tells of up to ``least`` documents with a term, and tasks have no documents in common, so their sum tells
+    whether there are as many.
     """
     if not 1 <= least <= 3:
         raise ValueError("terms are kept from one, two or three documents on")
-    sums = [F.sum("n").alias("n"), F.sum("n_documents").alias("n_documents"), F.min("low").alias("low"), F.max("high").alias("high")]
-    # a task has one row for a chunk; where they meet, they are dealt out to sources and added up without moving again
+    # a task has one row for a term; where they meet, they are dealt out to sources and added up without moving again
     met = count_chunks(documents, least).repartition("lang", "chunk")
-    met = met.select("lang", "chunk", "n_documents", "low", "high", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
-    counts = written(met.groupBy("lang", "source", "chunk").agg(*sums))
-    groups = counts.filter(F.col("source").isNotNull() & F.col("chunk").isNull()).select("lang", "source")
-    chunks = counts.filter(F.col("chunk").isNotNull())
-    found = F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM), F.lit(0))
-    terms = written(chunks.select("chunk").distinct().select(F.col("chunk").alias("its_chunk"), F.explode(found).alias("term")))
-
-    def with_terms(rows: DataFrame) -> DataFrame:
-        return rows.join(terms, F.col("chunk") == F.col("its_chunk"))
-
-    some = F.when(F.col("n_documents") < least, F.array("low", "high"))
-    kept = (
-        with_terms(chunks.filter(F.col("source").isNull()))
-        .select("lang", "term", "n_documents", F.explode_outer(some).alias("document"))
-        .groupBy("lang", "term").agg(F.max("n_documents").alias("most"), F.countDistinct("document").alias("together"))
-        .filter((F.col("most") >= least) | (F.col("together") >= least))
-        .select(F.col("lang").alias("its_lang"), F.col("term").alias("its_term"))
-    )
-    by_group = with_terms(chunks.filter(F.col("source").isNotNull())).groupBy("lang", "source", "term").agg(F.sum("n").alias("count"))
-    same = (F.col("lang") == F.col("its_lang")) & (F.col("term") == F.col("its_term"))
-    return written(by_group.join(kept, same, "left_semi")), written(groups)
+    met = met.select("lang", "chunk", "n_documents", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+    counts = met.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("n_documents").alias("n_documents"))
+    of_term = F.max(F.when(F.col("source").isNull(), F.col("n_documents"))).over(Window.partitionBy("lang", "chunk"))
+    counts = counts.withColumn("all_documents", of_term).filter(F.col("source").isNotNull())
+    counts = counts.filter(F.col("chunk").isNull() | (F.col("all_documents") >= least))
+    counts = written(counts.select("lang", "source", F.col("chunk").cast("string").alias("term"), F.col("n").alias("count")))
+    groups = counts.filter(F.col("term").isNull()).select("lang", "source")
+    return counts.filter(F.col("term").isNotNull()), written(groups)
 
 
 # Shares and divergences -----------------------------------------------------------------------------------------
