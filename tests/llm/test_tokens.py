@@ -231,3 +231,21 @@ def test_runs_of_white_space():
     own = packing.token_ids(pa.array(given), BYTES, True, 0)
     for text, ids, whole in zip(given, own, Tokenizer.from_file(BYTES).encode_batch_fast(given, add_special_tokens=False)):
         assert ids[:-4] == np.array(whole.ids, "<u4").tobytes(), text
+
+
+def test_new_words_beside_white_space_and_marks():
+    """Ids of new words are the library's, whether or not pieces of a batch hold white space, line breaks or marks."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tripmart.llm import packing
+
+    texts = ["one two", "a.b one. two,, three.\nfour five,six", "  wide\n\n gap | x|y |", "\n", " ", "", "sev.en .. ,", "one", "\x00 nul"]
+    for name, spaces in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        plain = Tokenizer.from_file(path)
+        for batch in (texts, *([x] for x in texts), texts[:2]):
+            packing._ids_of.cache_clear()
+            found = [np.frombuffer(x, "<u4").tolist() for x in packing.token_ids(pa.array(batch), path, spaces, 7)]
+            assert found == [[*plain.encode(x, add_special_tokens=False).ids, 7] for x in batch]

@@ -117,9 +117,12 @@ class Batch:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        alone = [x for x in texts if self.own in x or x.isspace()]  # white space would run into a mark
-        rest = [x for x in texts if not (self.own in x or x.isspace())]
-        if self.id is None or len(rest) < 2:
+        if self.id is None or len(texts) < 2:
+            return self._each(texts)
+        # white space would run into a mark
+        mixed = any(map(str.isspace, texts)) or "\0".join(texts).find(self.own) >= 0
+        rest = [x for x in texts if not (self.own in x or x.isspace())] if mixed else texts
+        if len(rest) < 2:
             return self._each(texts)
         joined = self.tokenizer.encode_batch_fast([self.mark.join(rest)], add_special_tokens=False)[0]
         ids = np.array(joined.ids, "<u4")
@@ -127,7 +130,11 @@ class Batch:
         if len(at) != len(rest) - 1:  # some piece runs into a mark
             return self._each(texts)
         data, ends = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-        found = dict(zip(rest, (data[a:b] for a, b in zip([0, *(x + 4 for x in ends)], ends))))
+        cut = [data[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], ends)]
+        if not mixed:
+            return cut
+        found = dict(zip(rest, cut))
+        alone = [x for x in texts if self.own in x or x.isspace()]
         found.update(zip(alone, self._each(alone)))
         return [found[x] for x in texts]
 

@@ -49,14 +49,15 @@ class PieceCache:
 
     def _learn(self, missing: set[str]) -> None:
         """Take pieces over from the older generation, and encode the parts of those that it doesn't have either."""
-        whole, parts = set(), {}
+        if self.older:
+            missing = {x for x in missing if not self._known(x)}
+        parts = {}
         for piece in missing:
-            if not self._known(piece):
-                if found := _WORD_AND_MARKS.fullmatch(piece):
-                    parts[piece] = [x for x in found.groups() if x]
-                else:
-                    whole.add(piece)
-        new = [*whole, *({x for own in parts.values() for x in own if not self._known(x)} - whole)]
+            # most pieces have no marks, which is seen sooner than whether they are a word and marks
+            if ("." in piece or "," in piece) and (found := _WORD_AND_MARKS.fullmatch(piece)):
+                parts[piece] = [x for x in found.groups() if x]
+        words = {x for own in parts.values() for x in own}
+        new = list(missing.difference(parts).union(x for x in words if not self._known(x)))
         self.ids.update(zip(new, self.encode(new)))
         for piece, own in parts.items():
             self.ids[piece] = self.between.join([self.ids[x] for x in own])
