@@ -35,6 +35,8 @@ BITS_APART = 4
 #: Keys that are remembered have a bit each in a map of at least so many bits a key, and of 2**LEAST_BITS to 2**MOST_BITS
 #: in all. Where two fall on one bit, more rows are joined; none is missed.
 BITS_A_KEY, LEAST_BITS, MOST_BITS = 12, 20, 30
+#: If more pairs a row are left to compare, classes are compared with the first of their blocks again, so often at most.
+PAIRS_A_ROW, MORE_STARS = 4, 1
 #: Keys that are looked through at once for those that come again.
 SEGMENT_KEYS = 1 << 22
 
@@ -55,7 +57,8 @@ class Threshold:
         return sizes * (self.whole - self.part) // (self.whole + self.part)
 
     def block_counts(self, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For the sizes of some sets: band numbers, block counts (0: none), and the most that two sets there differ.
+        """For the sizes of some sets: band numbers, block counts (0: none), and the most that a set of that size and
+        one there that is alike differ.
 
         Band 2 j has sizes above half of 2**j up to it; band 2 j + 1 has those at both sides of 2**j that can be alike.
         """
@@ -63,15 +66,18 @@ class Threshold:
         for shift, border in ((0, False), (0, True), (-1, True)):
             edge = 1 << np.maximum(top + shift, 0)
             if not border:
-                apart, there = self.most_apart(2 * edge), size > 0
+                largest, there = edge, size > 0
+                apart = self.most_apart(2 * edge)
             else:
-                apart = self.most_apart(edge + edge * self.whole // self.part)
+                largest = edge * self.whole // self.part
+                apart = self.most_apart(edge + largest)
                 below = (size <= edge) & (size * self.whole > self.part * edge)
                 above = (size > edge) & (size * self.part <= self.whole * edge)
                 there = (size > 0) & (top + shift >= 0) & (below if shift == 0 else above)
             # some blocks more than needed, as those without any shingle are of no use
             count = np.where(there, apart + 1 + np.maximum(2, apart // 4), 0)
-            yield 2 * (top + shift) + border, count, apart
+            own = self.most_apart(size + np.minimum(size * self.whole // self.part, largest))
+            yield 2 * (top + shift) + border, count, np.minimum(own, apart)
 
 
 def block_keys(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, ...]:
@@ -82,9 +88,9 @@ def block_keys(value: np.ndarray, bounds: np.ndarray, threshold: Threshold) -> t
     and their exclusive or stands for them. A block with none has a key only if a set could have no other block in
     common with one that is alike.
 
-    Alike sets have ``count - apart`` blocks in common, so at least as many keys as those are more than either's empty
-    blocks. If each leaves out the last of its keys in an order of all keys, one fewer than that, the first key that
-    they have in common stays in both.
+    Alike sets have ``count - apart`` blocks in common, by the smaller ``apart`` of the two, so at least as many keys as
+    those are more than either's empty blocks. If each leaves out the last of its keys in an order of all keys, one
+    fewer than that by its own ``apart``, the first key that they have in common stays in both.
     """
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
@@ -344,31 +350,42 @@ def _verified(df: DataFrame, pairs: DataFrame, width: int, threshold: Threshold)
     return written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(task(check), "a long, b long"))
 
 
-def _star_pairs(shared: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
-    """Each class with the first of its block, by one of four orders: pairs (a, b) that may be alike.
+def _star_pairs(shared: DataFrame, classes: DataFrame, threshold: Threshold, turn: Column) -> DataFrame:
+    """Each class with the first of its block: pairs (a, b) that have different labels and may be alike.
 
-    The first of a block is a minimum, which is summed up on the map side, and a block with many classes is a skewed
-    key of a join, which Spark can split.
+    ``turn``, by the key, sets the order. The first of a block is a minimum, which is summed up on the map side, and a
+    block with many classes is a skewed key of a join, which Spark can split.
     """
-    order = F.col("class").bitwiseXOR(F.shiftleft(F.col("key"), 62))
-    first = shared.groupBy(F.col("key").alias("its_key")).agg(F.min(order).alias("first"))
+    first = shared.groupBy(F.col("key").alias("its_key")).agg(F.min(F.col("class").bitwiseXOR(turn)).alias("first"))
     pairs = shared.join(first, F.col("key") == F.col("its_key"))
-    centre = F.col("first").bitwiseXOR(F.shiftleft(F.col("key"), 62))
+    centre = F.col("first").bitwiseXOR(turn)
     pairs = pairs.select(F.least("class", centre).alias("a"), F.greatest("class", centre).alias("b"))
     pairs = pairs.filter(F.col("a") != F.col("b")).distinct()
     joined = pairs.join(classes.alias("x"), F.col("a") == F.col("x.class")).join(classes.alias("y"), F.col("b") == F.col("y.class"))
-    return joined.filter(_may_be_alike("x", "y", threshold)).select("a", "b")
+    return joined.filter((F.col("x.label") != F.col("y.label")) & _may_be_alike("x", "y", threshold)).select("a", "b")
 
 
-def _cross_pairs(shared: DataFrame, classes: DataFrame, label: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs (a, b) of classes that share a block, have different labels, and may be alike."""
+def _mixed(shared: DataFrame, label: DataFrame) -> tuple[DataFrame, int, int]:
+    """key, class and label of the blocks with several labels; how many rows, and pairs of different labels, they have."""
+    rows = _with_label(shared, label)
+    of_label = rows.groupBy(F.col("key").alias("its_key"), "label").agg(F.count("*").alias("n"))
+    several = of_label.groupBy("its_key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("square"))
+    several = written(several.filter(F.col("n") * F.col("n") > F.col("square")))
+    sums = several.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("square"))).first()
+    rows = written(rows.join(several.select("its_key"), F.col("key") == F.col("its_key")).select("key", "class", "label"))
+    return rows, sums[0] or 0, (sums[1] or 0) // 2
+
+
+def _with_label(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows with the label of their class, itself if it is in no group yet."""
     label = label.select(F.col("node"), "label")
-    rows = shared.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class")).drop("node")
-    # only blocks with several labels
-    mixed = rows.groupBy(F.col("key").alias("its_key")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rows = rows.join(mixed.filter(F.col("low") < F.col("high")), F.col("key") == F.col("its_key")).select("key", "class", "label")
+    return rows.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class")).drop("node")
+
+
+def _cross_pairs(mixed: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs (a, b) of classes that share a block, have different labels, and may be alike."""
     # both sides are the same rows, so that they move once
-    rows = written(rows).join(classes, "class").select("key", "label", "class", "n_shingles", "sketch")
+    rows = mixed.join(classes, "class").select("key", "label", "class", "n_shingles", "sketch")
     met = rows.alias("x").join(
         rows.alias("y"),
         (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.class") < F.col("y.class"))
@@ -392,11 +409,25 @@ def _grouped(df: DataFrame, width: int, threshold: Threshold, hashed: bool = Fal
     shared = written(_shared_blocks(rows))
     sketches = written(classes.select("class", "n_shingles", "sketch").join(shared.select("class").distinct(), "class", "left_semi"))
 
-    label = components.labels(_verified(df, written(_star_pairs(shared, sketches, threshold)), width, threshold))
-    left = written(_cross_pairs(shared, sketches, label, threshold))
+    def joined(label: DataFrame, pairs: DataFrame) -> DataFrame:
+        more = _verified(df, pairs, width, threshold)
+        return components.labels(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+
+    # a class meets the first of its blocks by one of four orders, so that few are first
+    alone = sketches.withColumn("label", F.col("class"))
+    stars = written(_star_pairs(shared, alone, threshold, F.shiftleft("key", 62)))
+    label = components.labels(_verified(df, stars, width, threshold))
+    mixed, rows, pairs = _mixed(shared, label)
+    for _ in range(MORE_STARS):
+        if pairs <= PAIRS_A_ROW * rows:
+            break
+        # many are left: each meets others, a first of each of its blocks by an order of the block's own
+        stars = written(_star_pairs(mixed, _with_label(sketches, label), threshold, F.xxhash64("key")))
+        label = joined(label, stars)
+        mixed, rows, pairs = _mixed(mixed.select("key", "class"), label)
+    left = written(_cross_pairs(mixed, sketches, threshold))
     if not left.isEmpty():
-        more = _verified(df, left, width, threshold)
-        label = components.labels(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+        label = joined(label, left)
 
     labelled = classes.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
     smallest = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
