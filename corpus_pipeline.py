@@ -12,6 +12,9 @@ from tripmart.llm import jaccard, languages, packing, privacy, quality
 from tripmart.llm.queries import SURROGATE_KEY
 from tripmart.llm.tables import prepared, read, written
 
+#: Pieces of texts whose ids a worker keeps while it packs: the stages before have filled an executor's memory.
+KNOWN_PIECES = 200_000
+
 
 def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the votes of their nearest labelled texts don't call bad."""
@@ -35,7 +38,7 @@ def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of at most 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end=1)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end=1, known=KNOWN_PIECES)
 
 
 STAGES = [

@@ -274,3 +274,16 @@ def test_words_that_a_tokenizer_splits_are_left_to_it():
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.pre_tokenizer = Sequence([Split("e", "isolated"), tokenizer.pre_tokenizer])
     assert packing.Batch(tokenizer, "\n").table is None
+
+
+def test_few_known_pieces():
+    """A worker that keeps few pieces gives the same ids."""
+    rng = random.Random(13)
+    given = pa.array([" ".join("".join(rng.choices(packing.LETTERS, k=6)) for _ in range(10)) for _ in range(1000)])
+    packing._ids_of.cache_clear()
+    few = list(packing.token_ids(given, WORDS, False, 1, known=500))
+    cache = packing._ids_of(WORDS, False, 500)
+    # what 200 texts have is looked up at once
+    assert cache.kept == 500 and max(len(cache.ids), len(cache.older)) <= 500 + 2000
+    assert few == list(packing.token_ids(given, WORDS, False, 1))
+    packing._ids_of.cache_clear()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.pieces import PieceCache
+from tripmart.llm.pieces import KEPT, PieceCache
 from tripmart.llm.tables import written
 from tripmart.llm.workers import kept, task
 
@@ -187,23 +187,24 @@ class Batch:
 
 
 @kept(4)
-def _ids_of(path: str, spaces: bool) -> PieceCache:
+def _ids_of(path: str, spaces: bool, known: int = KEPT) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
     from tokenizers import Tokenizer
 
     # a line break stands alone between pieces that begin with a space, and so does a mark between spaces
-    return PieceCache(Batch(Tokenizer.from_file(path), "\n" if spaces else " | "), spaces=spaces, runs=spaces)
+    return PieceCache(Batch(Tokenizer.from_file(path), "\n" if spaces else " | "), known, spaces, runs=spaces)
 
 
-def token_ids(texts: pa.Array, path: str, spaces: bool, end: int) -> Iterator[bytes]:
-    """Little-endian 32-bit ids of each text by the tokenizers library, and the id ``end``. A null is empty."""
-    cache, last = _ids_of(path, spaces), np.array([end], "<u4").tobytes()
+def token_ids(texts: pa.Array, path: str, spaces: bool, end: int, known: int = KEPT) -> Iterator[bytes]:
+    """Little-endian 32-bit ids of each text by the tokenizers library, and the id ``end``. A null is empty. Of the
+    pieces that were met last a worker keeps ``known``, and up to as many from before them."""
+    cache, last = _ids_of(path, spaces, known), np.array([end], "<u4").tobytes()
     for at in range(0, len(texts), 200):
         for ids in cache.of_many([x or "" for x in texts.slice(at, 200).to_pylist()]):
             yield ids + last
 
 
-def cut(df: DataFrame, path: str, capacity: int, end: int, spaces: bool = False, keep_ids: bool = False) -> DataFrame:
+def cut(df: DataFrame, path: str, capacity: int, end: int, spaces: bool = False, keep_ids: bool = False, known: int = KEPT) -> DataFrame:
     """Tokenize ``doc_id``, ``text`` and cut each document's ids and ``end`` into pieces of ``capacity`` at most:
     doc_id, piece, start, length, ids_crc32, and ids (little-endian, 32 bits) if asked for."""
 
@@ -212,7 +213,7 @@ def cut(df: DataFrame, path: str, capacity: int, end: int, spaces: bool = False,
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 row, rest = [], []
-                for k, ids in enumerate(token_ids(part.column(1), path, spaces, end)):
+                for k, ids in enumerate(token_ids(part.column(1), path, spaces, end, known)):
                     for n, begin in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[begin : begin + 4 * capacity]
                         row.append(k)
@@ -270,13 +271,14 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def pack(df: DataFrame, path: str, capacity: int = 4096, end: int = 1, spaces: bool = False) -> DataFrame:
+def pack(df: DataFrame, path: str, capacity: int = 4096, end: int = 1, spaces: bool = False, known: int = KEPT) -> DataFrame:
     """Pack the documents of ``df`` (doc_id, text) into sequences of at most ``capacity`` tokens.
 
     ``path`` is a file of the tokenizers library; ``spaces`` says whether its tokens hold spaces. A null or empty
     text is the id ``end`` alone. Longer documents are cut; nothing else is. Columns other than the two are left out.
+    ``known`` is for the memory of workers, see ``token_ids``.
     """
-    pieces = cut(df, path, capacity, end, spaces).withColumn("row", F.monotonically_increasing_id())
+    pieces = cut(df, path, capacity, end, spaces, known=known).withColumn("row", F.monotonically_increasing_id())
     return place(written(pieces), capacity)
 
 
